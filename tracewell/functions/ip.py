@@ -56,13 +56,13 @@ def _compress(groups: Column) -> Column:
     padded = F.concat(F.lit(":"), F.array_join(short, ":"), F.lit(":"))
 
     def longest_gap(text: Column) -> Column:
-        plain = F.trim(F.lit(":"), text)
+        plain = F.trim(text, F.lit(":"))
         result = None
         for run in range(8, 1, -1):
             zeros = ":" + "0:" * run
             at = F.instr(text, zeros)
-            before = F.trim(F.lit(":"), F.left(text, at - 1))
-            after = F.trim(F.lit(":"), F.substring(text, at + len(zeros), F.length(text)))
+            before = F.trim(F.left(text, at - 1), F.lit(":"))
+            after = F.trim(F.substring(text, at + len(zeros), F.length(text)), F.lit(":"))
             joined = F.concat(before, F.lit("::"), after)
             result = F.when(at > 0, joined) if result is None else result.when(at > 0, joined)
         return result.otherwise(plain)

@@ -90,8 +90,8 @@ def _redacted_entries(df: DataFrame, col: str) -> Column:
 
 def redaction_coverage(df: DataFrame, col: str) -> DataFrame:
     """How often each sensitive key was redacted; keys never seen count zero."""
-    seen = df.select(F.lower(F.explode(_redacted_entries(df, col))).alias("key"))
-    counts = seen.groupBy("key").agg(F.count("*").alias("redactions"))
+    seen = df.select(F.explode(_redacted_entries(df, col)).alias("name"))
+    counts = seen.groupBy(F.lower("name").alias("key")).agg(F.count("*").alias("redactions"))
     known = df.sparkSession.createDataFrame([(k,) for k in SENSITIVE_KEYS], "key string")
     return counts.join(known, "key", "full_outer").select("key", F.coalesce("redactions", F.lit(0)).alias("redactions"))
 

@@ -208,8 +208,8 @@ def correlate_llm_mcp(events: DataFrame, key: str, within_seconds: float, *,
         "llm_event_id", "llm_ts", F.col("llm_model").alias("model"), lag.alias("lag_s"))
 
 
-def requested_tools(events: DataFrame, key: str, body: str = "body") -> DataFrame:
-    """Tool calls asked for by models, one row each: correlator and tool."""
+def requested_tools(body: Column) -> Column:
+    """Names of the tools a model's answer asks for, repeats included."""
     output = F.try_variant_get(body, "$.output", "array<variant>")
 
     def tools(message: Column) -> Column:
@@ -217,20 +217,23 @@ def requested_tools(events: DataFrame, key: str, body: str = "body") -> DataFram
         return F.coalesce(F.transform(calls, lambda c: F.try_variant_get(c, "$.name", "string")),
                           F.array().cast("array<string>"))
 
-    named = F.explode(F.flatten(F.transform(output, tools))).alias("tool")
-    return events.filter(F.col("kind") == "llm").select(F.col(key), named)
+    return F.flatten(F.transform(output, tools))
 
 
-def requested_vs_observed(requested: DataFrame, observed: DataFrame, key: str) -> DataFrame:
-    """Tool calls a model asked for against those a server saw, per correlator and
-    tool. Each side is counted before the join, so the join is one to one."""
+def requested_vs_observed(events: DataFrame, key: str, body: str = "body") -> DataFrame:
+    """Tool calls models asked for against those servers saw, per correlator and
+    tool. One pass and one shuffle, counted before it; the result is that of a
+    full outer join of the two counts."""
+    nothing = F.array().cast("array<string>")
+    asked = F.coalesce(F.when(F.col("kind") == "llm", requested_tools(F.col(body))), nothing)
+    seen = F.when(F.col("method") == "mcp_tool_call", F.array("handler_name")).otherwise(nothing)
 
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        known = df.filter(F.col(key).isNotNull() & (F.col(key) != REDACTED))
-        return known.groupBy(key, "tool").agg(F.count("*").alias(name))
+    def marked(tools: Column, requested: bool) -> Column:
+        return F.transform(tools, lambda t: F.struct(t.alias("tool"), F.lit(requested).alias("_requested")))
 
-    both = counted(requested, "requested").join(counted(observed, "observed"), [key, "tool"], "full_outer")
-    filled = both.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("requested", "observed")})
+    known = events.filter(F.col(key).isNotNull() & (F.col(key) != REDACTED))
+    filled = known.select(key, F.inline(F.concat(marked(asked, True), marked(seen, False)))).groupBy(key, "tool").agg(
+        F.count_if("_requested").alias("requested"), F.count_if(~F.col("_requested")).alias("observed"))
     verdict = (
         F.when(F.col("observed") == 0, "requested_only")
         .when(F.col("requested") == 0, "observed_only")

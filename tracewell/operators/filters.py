@@ -34,7 +34,7 @@ def drop_health_exact(df: DataFrame, col: str = "endpoint") -> DataFrame:
 
 def is_health_segment(endpoint: Column, exempt_ai_schemes: bool = True) -> Column:
     """Whether the last path segment names a health check."""
-    last = F.lower(F.substring_index(F.rtrim(F.lit("/"), endpoint), "/", -1))
+    last = F.lower(F.substring_index(F.rtrim(endpoint, F.lit("/")), "/", -1))
     hit = F.coalesce(last.isin(*HEALTH_SEGMENTS), F.lit(False))
     return hit & ~endpoint.rlike("^(?:mcp|llm)://") if exempt_ai_schemes else hit
 

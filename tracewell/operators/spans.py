@@ -198,7 +198,7 @@ def _resolve(read: DataFrame, options: SpanOptions) -> DataFrame:
         return F.when(llm, F.coalesce(recorded, messages(attrs, prefix)))
 
     staged = read.withColumns({
-        "ts": F.timestamp_micros(F.floor(F.col("start_ns") / 1000)),
+        "ts": F.timestamp_micros(F.expr("start_ns div 1000")),
         "duration_ms": F.when(spent > 0, spent / F.lit(1e6)).otherwise(F.lit(0.0)),
         "error": F.when(failed, F.coalesce(message, text_or(F.col("a_error"), "error"))),
         "remote_addr": forwarded_ip(F.when(is_string(F.col("a_client")), as_text(F.col("a_client"))), mode="span"),
