@@ -329,7 +329,7 @@ _sql("observed_arguments", """
   SELECT 'mcp://server-' || (user_id % 7) || '/' || event_type AS endpoint, argument, count(*) AS calls
   FROM events, (SELECT unnest(['item', 'token', 'note', 'nested']) AS argument) GROUP BY 1, 2""")
 _sql("call_graph", """
-  SELECT handler_name AS src, next AS dst, count(*) AS n, round(sum(gap), 5) AS sum_gap_s, round(min(gap), 6) AS min_gap_s,
+  SELECT handler_name AS src, next AS dst, count(*) AS n, round(sum(gap), 6) AS sum_gap_s, round(min(gap), 6) AS min_gap_s,
     round(max(gap), 6) AS max_gap_s
   FROM (SELECT handler_name, lead(handler_name) OVER w AS next, (epoch_us(lead(ts) OVER w) - epoch_us(ts)) / 1e6 AS gap FROM calls
     WINDOW w AS (PARTITION BY session_id ORDER BY ts, event_id)) WHERE next IS NOT NULL GROUP BY 1, 2""", CALLS)

@@ -493,7 +493,7 @@ def observed_arguments(spark, sf_dir):
 @query
 def call_graph(spark, sf_dir):
     out = analytics.call_graph(S.calls(spark, sf_dir))
-    return out.select("src", "dst", "n", F.round(F.col("avg_gap_s") * F.col("n"), 5).alias("sum_gap_s"),
+    return out.select("src", "dst", "n", F.round(F.col("avg_gap_s") * F.col("n"), 6).alias("sum_gap_s"),
                       *[F.round(c, 6).alias(c) for c in ("min_gap_s", "max_gap_s")])
 
 

@@ -107,3 +107,41 @@ def correlate_windows(llm: DataFrame, mcp: DataFrame, key: str, window: str, *,
 
     joined = counted(llm, "llm_calls").join(counted(mcp, "mcp_calls"), ["w", key])
     return joined.select(F.col("w.start").alias("window_start"), key, "llm_calls", "mcp_calls")
+
+
+STREAK_SCHEMA = "failures BIGINT, first_ts TIMESTAMP, last_ts TIMESTAMP"
+
+
+def failure_streaks(events: DataFrame, n: int, keys: Sequence[str] = ("session_id",), *,
+                    watermark: str = "10 minutes", quiet_ms: int = 3_600_000) -> DataFrame:
+    """A row whenever a key's current run of failures grows and is at least ``n``.
+
+    Rows of one micro-batch are put in time order; order across micro-batches is
+    that of arrival, so bound the intake. A key quiet for ``quiet_ms`` is forgotten.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    key_schema = ", ".join(f"{k} {events.schema[k].dataType.simpleString()}" for k in keys)
+    columns = [*keys, "failures", "first_ts", "last_ts"]
+
+    def step(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+        count, first, last = state.get if state.exists else (0, 0, 0)
+        before = count
+        for failed, ts in zip(rows["status"] == "error", rows["ts"], strict=True):
+            now = ts.value // 1000
+            count, first, last = (count + 1, first if count else now, now) if failed else (0, 0, 0)
+        state.update((count, first, last))
+        state.setTimeoutDuration(quiet_ms)
+        if count >= n and count != before:
+            yield pd.DataFrame([(*key, count, pd.Timestamp(first, unit="us"), pd.Timestamp(last, unit="us"))],
+                               columns=columns)
+
+    timed = events.withWatermark("ts", watermark).select(*keys, "ts", "event_id", "status")
+    return timed.groupBy(*keys).applyInPandasWithState(
+        step, f"{key_schema}, {STREAK_SCHEMA}", "count BIGINT, first_us BIGINT, last_us BIGINT", "append",
+        GroupStateTimeout.ProcessingTimeTimeout)
