@@ -87,11 +87,11 @@ def http_events(requests: DataFrame, options: RequestOptions = RequestOptions())
     if not options.capture_body:
         wanted = F.lit(False)
     # Text that cannot be an object or array is never parsed.
-    rows = rows.withColumn("_text", F.when(wanted & F.col("body").rlike(r"^\s*[\[{]"), F.col("body")))
+    rows = rows.withColumn("_sent", F.when(wanted & F.col("body").rlike(r"^\s*[\[{]"), F.col("body")))
     if not options.capture_ai_content:
-        rows = rows.withColumn("body", F.when(~is_llm_path(F.col("endpoint")), F.try_parse_json("_text")))
+        rows = rows.withColumn("body", F.when(~is_llm_path(F.col("endpoint")), F.try_parse_json("_sent")))
         rows = withhold_ai_bodies(rows)
-        rows = rows.withColumn("_text", F.when(F.col("body").isNotNull(), F.col("_text")))
+        rows = rows.withColumn("_sent", F.when(F.col("body").isNotNull(), F.col("_sent")))
     walk = Walk(extra_keys=tuple(options.extra_keys), rules=tuple(options.rules), secret=options.secret)
     if options.capture_response_body:
         rows = response_body_eligible(rows)
@@ -112,7 +112,7 @@ def http_events(requests: DataFrame, options: RequestOptions = RequestOptions())
         method.alias("method"),
         captured_headers(F.col("headers"), options.secret, options.capture_headers).alias("headers"),
         params.alias("query_params"),
-        rewrite(F.col("_text"), walk).alias("body"),
+        rewrite(F.col("_sent"), walk).alias("body"),
         "response_body",
         header("user-agent").alias("user_agent"),
         user.alias("user_id"),

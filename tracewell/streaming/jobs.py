@@ -117,7 +117,8 @@ def failure_streaks(events: DataFrame, n: int, keys: Sequence[str] = ("session_i
     """A row whenever a key's current run of failures grows and is at least ``n``.
 
     Rows of one micro-batch are put in time order; order across micro-batches is
-    that of arrival, so bound the intake. A key quiet for ``quiet_ms`` is forgotten.
+    that of arrival, so bound the intake. A key is forgotten when event time has
+    moved ``quiet_ms`` past its last call.
     """
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
@@ -136,7 +137,8 @@ def failure_streaks(events: DataFrame, n: int, keys: Sequence[str] = ("session_i
             now = ts.value // 1000
             count, first, last = (count + 1, first if count else now, now) if failed else (0, 0, 0)
         state.update((count, first, last))
-        state.setTimeoutDuration(quiet_ms)
+        seen_ms = rows["ts"].iloc[-1].value // 1_000_000
+        state.setTimeoutTimestamp(max(seen_ms, state.getCurrentWatermarkMs()) + quiet_ms)
         if count >= n and count != before:
             yield pd.DataFrame([(*key, count, pd.Timestamp(first, unit="us"), pd.Timestamp(last, unit="us"))],
                                columns=columns)
@@ -144,4 +146,4 @@ def failure_streaks(events: DataFrame, n: int, keys: Sequence[str] = ("session_i
     timed = events.withWatermark("ts", watermark).select(*keys, "ts", "event_id", "status")
     return timed.groupBy(*keys).applyInPandasWithState(
         step, f"{key_schema}, {STREAK_SCHEMA}", "count BIGINT, first_us BIGINT, last_us BIGINT", "append",
-        GroupStateTimeout.ProcessingTimeTimeout)
+        GroupStateTimeout.EventTimeTimeout)
