@@ -52,6 +52,21 @@ def test_timeline_equals_plain_windows(hot, seconds):
     same(last, hot.withColumn("last_event_id", best["event_id"]), "event_id", "last_event_id")
 
 
+@pytest.mark.parametrize("seconds", [60, 3600, 10**7])
+def test_group_numbers_equal_plain_windows(hot, seconds):
+    plain = Window.partitionBy("session_id").orderBy("ts", "event_id")
+    got = analytics.sessionize(hot, 300, ["session_id"], seconds=seconds)
+    fresh = F.coalesce((F.unix_micros("ts") - F.unix_micros(F.lag("ts").over(plain)) > 300_000_000).cast("int"), F.lit(1))
+    want = hot.withColumn("fresh", fresh).withColumn("session_no", F.sum("fresh").over(plain))
+    same(got, want, "event_id", "session_no")
+
+
+def test_rows_without_time_are_kept(spark):
+    df = calls(spark, [(1, "s", "a", None, "ok"), (2, "s", "b", T0, "ok"), (3, "s", "c", None, "ok")])
+    got = timeline.with_previous(df, ["session_id"], ["event_id"]).orderBy("event_id").collect()
+    assert [r.prev_event_id for r in got] == [None, 3, 1]
+
+
 def test_a_hot_key_is_spread(hot):
     sizes = timeline._sliced(hot, ["session_id"], "ts", 3600).groupBy("_key", "_slice").count()
     assert sizes.agg(F.max("count")).first()[0] < 60 < hot.filter("session_id = 'hot'").count()

@@ -15,6 +15,7 @@ from tracewell.constants import REDACTED
 from tracewell.functions.variants import as_object, as_text
 from tracewell.operators.timeline import (
     SLICE_SECONDS,
+    with_group_number,
     with_latest,
     with_next,
     with_previous,
@@ -138,9 +139,8 @@ def call_loops(events: DataFrame, n: int, within: str, keys: Sequence[str] = ("s
 def sessionize(events: DataFrame, gap_seconds: float, keys: Sequence[str] = ("user_id",), *,
                seconds: int = SLICE_SECONDS) -> DataFrame:
     """Adds ``session_no`` (from 1) per key: a new session after a quiet gap."""
-    rows = with_previous(events, keys, ["ts"], seconds=seconds)
-    quiet = F.col("prev_ts").isNull() | (seconds_between(F.col("ts"), F.col("prev_ts")) > gap_seconds)
-    return with_running_total(rows, keys, quiet.cast("int"), "session_no", seconds=seconds).drop("prev_ts")
+    gap = F.make_dt_interval(secs=F.lit(gap_seconds))
+    return with_group_number(events, keys, gap, "session_no", seconds=seconds)
 
 
 # --- use --------------------------------------------------------------------

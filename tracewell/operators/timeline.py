@@ -18,8 +18,9 @@ SLICE_SECONDS = 3600
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], ts: str, seconds: int) -> DataFrame:
-    # A struct compares equal to itself even when members are null.
-    slice_no = F.floor(F.unix_micros(F.col(ts)) / F.lit(seconds * 1_000_000))
+    # A struct compares equal to itself even when members are null. Rows without
+    # a time come first, as they do in a sort.
+    slice_no = F.coalesce(F.floor(F.unix_micros(F.col(ts)) / F.lit(seconds * 1_000_000)), F.lit(-(1 << 62)))
     return df.withColumns({"_key": F.struct(*keys), "_slice": slice_no})
 
 
@@ -84,3 +85,22 @@ def with_latest(df: DataFrame, keys: Sequence[str], when: Column, cols: Sequence
     rows = rows.withColumn("_near", F.coalesce(F.max("_mark").over(inside), F.col("_carry")))
     named = {f"{prefix}{c}": F.col(f"_near.v{i}") for i, c in enumerate(cols)}
     return rows.withColumns(named).drop("_key", "_slice", "_carry", "_near", "_mark", "_us")
+
+
+def with_group_number(df: DataFrame, keys: Sequence[str], gap: Column, out: str, *, ts: str = "ts",
+                      tie: str = "event_id", seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Numbers, from 1, the runs of a key's rows between pauses longer than ``gap``
+    (an interval). One table of slices gives both whether a slice opens a new run
+    and how many runs began before it."""
+    at = F.col(ts)
+    inside = Window.partitionBy("_key", "_slice").orderBy(ts, tie)
+    pause = F.coalesce((at - F.lag(at).over(inside)) > gap, F.lit(False))
+    rows = _sliced(df, keys, ts, seconds).withColumn("_pause", pause.cast("int"))
+    slices = Window.partitionBy("_key").orderBy("_slice")
+    edges = rows.groupBy("_key", "_slice").agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"), F.sum("_pause").alias("_n"))
+    quiet = F.coalesce((F.col("_lo") - F.lag("_hi").over(slices)) > gap, F.lag("_slice").over(slices).isNull())
+    edges = edges.withColumn("_opens", quiet.cast("int"))
+    begun = F.coalesce(F.sum(F.col("_opens") + F.col("_n")).over(_earlier_slices()), F.lit(0))
+    edges = edges.select("_key", "_slice", (begun + F.col("_opens")).alias("_carry"))
+    number = F.sum("_pause").over(inside.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_carry")
+    return rows.join(edges, ["_key", "_slice"]).withColumn(out, number).drop("_key", "_slice", "_carry", "_pause")
