@@ -147,11 +147,13 @@ def test_wire_forms(spark):
 
 
 def test_write_events(spark, tmp_path):
-    df = spark.sql("select timestamp'2026-01-01 01:00:00' ts, 'llm' kind, outcome, parse_json('{\"a\":1}') body"
+    df = spark.sql("select 'e' event_id, timestamp'2026-01-01 01:00:00' ts, 'llm' kind, outcome, parse_json('{\"a\":1}') body"
                    " from values ('llm'), ('ignored'), ('oversize') t(outcome)")
     writers.write_events(df, str(tmp_path / "t"))
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.count() == 1 and str(back.first().date) == "2026-01-01"
+    writers.write_events(df, str(tmp_path / "t"), spread=2)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
 
 
 def test_admission(spark, hot):

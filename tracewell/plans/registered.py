@@ -386,11 +386,13 @@ def rebuild_conversations(spark, sf_dir):
 
     pairs = F.array(F.struct(key("role").alias("key"), F.col("role").alias("value")),
                     F.struct(key("content").alias("key"), F.col("text").alias("value")))
-    spans = turns.groupBy("conv_id").agg(F.flatten(F.collect_list(pairs)).alias("pairs")).select(
-        "conv_id", F.transform_values(F.map_from_entries("pairs"), lambda k, v: v.cast("variant")).alias("attrs"))
-    found = rebuild_messages(spans).select("conv_id", F.posexplode(
+    # A span holds at most 64 turns, however long the conversation is.
+    part = F.floor(F.col("turn") / 64).alias("part")
+    spans = turns.groupBy("conv_id", part).agg(F.flatten(F.collect_list(pairs)).alias("pairs")).select(
+        "conv_id", "part", F.transform_values(F.map_from_entries("pairs"), lambda k, v: v.cast("variant")).alias("attrs"))
+    found = rebuild_messages(spans).select("conv_id", "part", F.posexplode(
         F.try_variant_get("input_messages", "$", "array<variant>")).alias("pos", "m"))
-    return found.select("conv_id", F.col("pos").cast("bigint").alias("pos"), jtext("$.role", "m").alias("role"),
+    return found.select("conv_id", (F.col("part") * 64 + F.col("pos")).alias("pos"), jtext("$.role", "m").alias("role"),
                         F.md5(jtext("$.content", "m")).alias("content_md5"))
 
 

@@ -22,12 +22,17 @@ ACK_SCHEMA = (
 
 
 def write_events(events: DataFrame, path: str, *, checkpoint: str | None = None,
-                 trigger: Mapping[str, object] | None = None, mode: str = "append") -> StreamingQuery | None:
+                 trigger: Mapping[str, object] | None = None, mode: str = "append",
+                 spread: int | None = None) -> StreamingQuery | None:
     """Write the stored events as parquet, partitioned by date and kind.
 
-    A streaming input starts a query (``checkpoint`` required) and returns it.
+    As it is, every task writes to every partition it holds rows of. With
+    ``spread`` rows are first shuffled so that a partition is written by that many
+    tasks, whatever its share of the rows. A streaming input starts a query (``checkpoint`` required) and returns it.
     """
     rows = stored(events).withColumn("date", F.to_date("ts"))
+    if spread:
+        rows = rows.repartition("date", "kind", F.pmod(F.xxhash64("event_id"), F.lit(spread)))
     if not events.isStreaming:
         rows.write.partitionBy("date", "kind").mode(mode).parquet(path)
         return None
