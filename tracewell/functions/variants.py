@@ -95,18 +95,16 @@ def variant_map(fields: Sequence[tuple[str, Column] | tuple[str, Column, bool]])
 
     Fields are kept when null unless ``keep_null`` is false.
     """
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(field[0]).alias("key"),
-                field[1].cast("variant").alias("value"),
-                F.lit(field[2] if len(field) > 2 else True).alias("keep"),
-            )
-            for field in fields
-        ]
-    )
-    kept = F.filter(entries, lambda e: e["keep"] | e["value"].isNotNull())
-    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+    always = [(name, value) for name, value, *keep in fields if keep != [False]]
+    if_present = [(name, value) for name, value, *keep in fields if keep == [False]]
+    parts = []
+    if always:
+        parts.append(F.create_map(*[c for name, value in always for c in (F.lit(name), value.cast("variant"))]))
+    if if_present:
+        entries = F.array(*[F.struct(F.lit(name).alias("key"), value.cast("variant").alias("value"))
+                            for name, value in if_present])
+        parts.append(F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())))
+    return parts[0] if len(parts) == 1 else F.map_concat(*parts)
 
 
 def to_object(fields: Column) -> Column:
