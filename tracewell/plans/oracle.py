@@ -425,3 +425,13 @@ _sql("correlate_windows", """
       count(*) FILTER (kind = 'mcp') AS mcp_calls FROM calls GROUP BY 1, 2) WHERE llm_calls > 0 AND mcp_calls > 0""", CALLS)
 _sql("dedup_spans", """
   SELECT DISTINCT md5(CAST(event_id % 5000 AS VARCHAR)) AS trace_id, event_id % 2 AS span_id FROM events""")
+_sql("stream_calls", f"""
+  SELECT event_id, {_hmac('user_id')} AS user_id, endpoint, epoch_us(ts) AS ts_us FROM calls
+  WHERE status = 'ok' AND ('0x' || substr(md5(session_id), 1, 8))::UBIGINT / 4294967296.0 < 0.5""", CALLS)
+# A window is written once the watermark, ten minutes behind the last event, has passed its end.
+_sql("stream_windowed_tokens", """
+  SELECT epoch_us(w) AS window_us, provider, count(*) AS calls, sum(tokens_total)::BIGINT AS tokens
+  FROM (SELECT *, date_trunc('day', ts) AS w FROM calls)
+  WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""", CALLS)
+_sql("stream_dedup_spans", """
+  SELECT DISTINCT md5(CAST(event_id % 5000 AS VARCHAR)) AS trace_id, event_id % 2 AS span_id FROM events""")

@@ -15,6 +15,7 @@ from tracewell.operators.rules import Rule
 from tracewell.operators.sizing import custom_object, enforce_event_size
 from tracewell.plans import sample_tables as S
 from tracewell.plans.exports import span_events, stored
+from tracewell.session import checkpoint_location
 from tracewell.sinks import writers
 from tracewell.sources import http, mcp, otlp
 from tracewell.streaming import jobs
@@ -655,3 +656,33 @@ def dedup_spans(spark, sf_dir):
     once = S.table(spark, sf_dir, "events").select(
         "ts", F.md5((F.col("event_id") % 5000).cast("string")).alias("trace_id"), (F.col("event_id") % 2).alias("span_id"))
     return jobs.dedup_spans(once).select("trace_id", "span_id")
+
+
+# --- streams, run until the input is used up --------------------------------
+
+
+def _finished(spark, stream):
+    """Run a streaming DataFrame over all available input; the written table."""
+    path = checkpoint_location(spark, "table")
+    jobs.stream_job(stream, lambda rows: rows, path, trigger=jobs.ONCE).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query
+def stream_calls(spark, sf_dir):
+    rows = filters.sample_requests(S.calls(spark, sf_dir, stream=True), 0.5, key="session_id")
+    rows = privacy.pseudonymize(rows.filter(F.col("status") == "ok"), ["user_id"], S.SECRET)
+    return _finished(spark, rows.select("event_id", "user_id", "endpoint", us("ts").alias("ts_us")))
+
+
+@query
+def stream_windowed_tokens(spark, sf_dir):
+    out = jobs.windowed_tokens(S.calls(spark, sf_dir, stream=True), "1 day", ("provider",), tokens="tokens_total")
+    return _finished(spark, out).select(us("window_start").alias("window_us"), "provider", "calls", "tokens")
+
+
+@query
+def stream_dedup_spans(spark, sf_dir):
+    rows = S.calls(spark, sf_dir, stream=True).withColumns({
+        "trace_id": F.md5((F.col("event_id") % 5000).cast("string")), "span_id": F.col("event_id") % 2})
+    return _finished(spark, jobs.dedup_spans(rows, "60 days").select("trace_id", "span_id"))

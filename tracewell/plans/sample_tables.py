@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in df.columns else df
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream."""
+    schema = prepare_session(spark).read.parquet(f"{sf_dir}/{name}.parquet").schema
+    df = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return df.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
@@ -35,10 +42,10 @@ def _id(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
-def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calls(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
     """Light call events: model calls are views and clicks, the rest tool calls."""
     user = F.col("user_id")
-    return table(spark, sf_dir, "events").select(
+    return (stream_table if stream else table)(spark, sf_dir, "events").select(
         "event_id",
         "ts",
         F.when(F.col("event_type").isin("view", "click"), "llm").otherwise("mcp").alias("kind"),
