@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import ppm
-from tracewell.llm.shared import fold
+from tracewell.llm import fingerprints, ledger, mixture, ppm
+from tracewell.llm.shared import fold, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +25,42 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language.score").alias("score"), F.col("language.bits_per_byte").alias("bits_per_byte"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table as a history of one version per path, against a new ledger."""
+    found = ledger.scan_history(table(spark, sf_dir, "documents"), "doc_id", "text", shared_folder(spark, "ledger"))
+    return found.select(
+        F.col("path").alias("doc_id"), *(ledger.count("findings", kind).alias(f"n_{kind}") for kind in ledger.BASE),
+        F.sha2(ledger.digest("findings", ledger.BASE), 256).alias("base_sha256"), ledger.digest("findings").alias("spans"))
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    mixed, sizes, targets = mixture.mix(
+        documents.select("doc_id", "text", "source"), "doc_id", mixture.word_count("text"), F.array("source"))
+    sources = spark.createDataFrame([(s, sizes[s], float(targets[s])) for s in sizes],
+                                    "_source string, source_size long, target double")
+    return mixed.join(sources, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc_id", F.col("_size").alias("size"), "source_size", "target", F.col("_taken").alias("taken"))
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.exact_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text").select(
+        F.col("key").alias("doc_id"), F.col("keep_key").alias("keep_id"), "group_size", "kept",
+        F.lower(F.hex("sha")).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_secret_scan": op2_secret_scan,
+    "op5_source_mix": op5_source_mix,
+    "op6_exact_dedup": op6_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE = {
+    "op6_exact_dedup": f"""
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+        FROM (SELECT doc_id, {LOWERED} AS body FROM documents) WINDOW same AS (PARTITION BY body)""",
+}
