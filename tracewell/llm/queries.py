@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import fingerprints, ledger, mixture, ppm
+from tracewell.llm import fingerprints, ledger, mixture, ppm, toccurrence
 from tracewell.llm.shared import fold, shared_folder
 
 
@@ -49,11 +49,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toccurrence.jaccard_components(
+        table(spark, sf_dir, "documents"), "doc_id", "text", size=3, at_least=90, of=100).select(
+        F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
     "op5_source_mix": op5_source_mix,
     "op6_exact_dedup": op6_exact_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
