@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import fingerprints, ledger, mixture, ppm, toccurrence
+from tracewell.llm import derivatives, fingerprints, ledger, mixture, ppm, snapshots, tiling, toccurrence
 from tracewell.llm.shared import fold, shared_folder
 
 
@@ -33,6 +33,17 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(ledger.digest("findings", ledger.BASE), 256).alias("base_sha256"), ledger.digest("findings").alias("spans"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the tiles (item word, document word, words)."""
+    return tiling.contaminated(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text") \
+        .select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "item_words", "covered", "coverage", "tiles")
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.collapse_and_render(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").select(
+        F.col("conv").alias("conv_id"), "part", F.col("n").alias("n_turns"), "copies", "rendered")
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     mixed, sizes, targets = mixture.mix(
@@ -49,6 +60,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    responses = derivatives.responses_from_pages(pages, "page_id", "url", "html", "2024-01-01T00:00:00Z")
+    return derivatives.build(responses).withColumn("page_id", F.col("source").cast("long")).select(
+        "page_id", "record_type", "record_id", "refers_to", "target_uri", "content_type", "content_length", "block_digest",
+        "source_payload_digest", "header", "content")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toccurrence.jaccard_components(
         table(spark, sf_dir, "documents"), "doc_id", "text", size=3, at_least=90, of=100).select(
@@ -58,14 +77,28 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
+    "op3_decontamination": op3_decontamination,
+    "op4_chat_format": op4_chat_format,
     "op5_source_mix": op5_source_mix,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_warc_derivatives": op9_warc_derivatives,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    # Turns of a conversation as a list; the lists of their beginnings are looked for among the others.
+    "op4_chat_format": """
+        WITH logged AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS turns
+                        FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations) GROUP BY conv_id),
+             begun AS (SELECT DISTINCT turns[1:k] AS turns FROM logged, unnest(range(1, len(turns))) AS r(k)),
+             whole AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS copies FROM logged GROUP BY turns),
+             kept AS (SELECT * FROM whole WHERE turns NOT IN (SELECT turns FROM begun)),
+             placed AS (SELECT conv_id, len(turns) AS n_turns, copies, unnest(turns) AS turn, unnest(range(len(turns))) AS place FROM kept)
+        SELECT conv_id, place // 256 AS part, n_turns, copies,
+               string_agg('<|im_start|>' || turn.role || chr(10) || turn.text || '<|im_end|>' || chr(10), '' ORDER BY place) AS rendered
+        FROM placed GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY conv_id, place // 256, n_turns, copies"),
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
