@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import derivatives, fingerprints, ledger, mixture, ppm, snapshots, tiling, toccurrence
+from tracewell.llm import contextmix, derivatives, fingerprints, ledger, mixture, ppm, snapshots, tiling, toccurrence
 from tracewell.llm.shared import fold, shared_folder
 
 
@@ -50,7 +50,7 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents.select("doc_id", "text", "source"), "doc_id", mixture.word_count("text"), F.array("source"))
     sources = spark.createDataFrame([(s, sizes[s], float(targets[s])) for s in sizes],
                                     "_source string, source_size long, target double")
-    return mixed.join(sources, F.col("source").eqNullSafe(F.col("_source"))).select(
+    return mixed.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source"))).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target", F.col("_taken").alias("taken"))
 
 
@@ -60,6 +60,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 7) == 2
+    return contextmix.scores(documents, "doc_id", "text", ~held_out).withColumnRenamed("key", "doc_id").select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     responses = derivatives.responses_from_pages(pages, "page_id", "url", "html", "2024-01-01T00:00:00Z")
@@ -81,6 +88,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_source_mix": op5_source_mix,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_lm_score": op7_lm_score,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_jaccard_join": op10_jaccard_join,
 }
