@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import contextmix, derivatives, fingerprints, ledger, mixture, ppm, snapshots, tiling, toccurrence
+from tracewell.llm import contextmix, derivatives, fingerprints, hostarray, ledger, mixture, ppm, snapshots, tiling, toccurrence
 from tracewell.llm.shared import fold, shared_folder
 
 
@@ -67,6 +67,11 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostarray.main_text(table(spark, sf_dir, "pages"), "page_id", "url", "html").select(
+        F.col("key").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     responses = derivatives.responses_from_pages(pages, "page_id", "url", "html", "2024-01-01T00:00:00Z")
@@ -89,6 +94,7 @@ QUERIES = {
     "op5_source_mix": op5_source_mix,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_lm_score": op7_lm_score,
+    "op8_html_extraction": op8_html_extraction,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_jaccard_join": op10_jaccard_join,
 }
