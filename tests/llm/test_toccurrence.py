@@ -111,3 +111,38 @@ def test_no_rows(rows):
 def test_query_on_a_table(spark, sf_dir):
     data = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in op10_jaccard_join(spark, sf_dir).collect()), key=str) == brute(data, 3, 90, 100)
+
+
+def test_one_document_of_each_group_stays(rows):
+    texts = families(9, 200, 40) + ["", None, "x y", "X y"]
+    data = list(enumerate(texts)) + [(3, texts[3]), (3, "another text for key three"), (None, texts[0]), (None, "null alone"), (None, "null alone")]
+    df = rows(data, "doc_id long, text string").repartition(5).selectExpr("*", "1 AS key", "2 AS name", "3 AS component")
+    left = to.one_of_each(df, "doc_id", "text")
+    assert left.columns == df.columns
+    component = {}
+    for (key, text), c in zip(data, by_row(data)):
+        component.setdefault(c, []).append((key, text))
+    got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    assert len(got) == sum(len(m) if not shingles(m[0][1], 5) else 1 for m in component.values())
+    of = {}
+    for c, members in component.items():
+        for m in members:
+            of[m] = c
+    kept = [of[m] for m in got if shingles(m[1], 5)]
+    assert len(kept) == len(set(kept))
+
+
+def by_row(data):
+    """Component number of each row, all pairs compared."""
+    sets, parent = [shingles(t, 5) for _, t in data], list(range(len(data)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                parent[find(i)] = find(j)
+    return [find(i) for i in range(len(data))]

@@ -15,8 +15,8 @@ D = (|a| + |b|) (of - at_least) / (of + at_least) shingles.
 2. Search. A cluster's distinct sets become inverted lists. For a query of n shingles and
    overlap T, the L longest of its lists are set aside; the others are merged with a heap,
    which leaves sets that occur T - L times; these are looked up in the long lists by
-   binary search. Sets that are in one component already need no look-up. A cluster of
-   more than ``UNIT`` sets is cut into that many blocks and searched block against block.
+   binary search. Sets that are in one component already need no look-up. A larger
+   cluster than ``UNIT`` sets is cut into blocks and searched block against block.
 3. Found links join sets into components.
 
 Texts without words are linked with nothing. Rows with equal sets are one set. A null key
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewell.llm.bitmaps import key_bits
+from tracewell.llm.bitmaps import key_bits, probably_in
 from tracewell.llm.components import components
 from tracewell.llm.fingerprints import decode, encode
 from tracewell.llm.shared import slices, written
@@ -46,8 +46,9 @@ from tracewell.llm.words import mix, shingles_of, words_of
 SIGNATURE_BITS = 60
 BLOCK_ROWS = 1 << 16
 BLOCK_SIGNATURES = 1 << 21
-#: Sets of a cluster that are searched together.
+#: Sets of a cluster, and shingles in them, that are searched together at most, about.
 UNIT = 2000
+UNIT_SHINGLES = 1 << 20
 #: Weight of a step in a long list against one in a short list.
 MU = 0.01
 
@@ -266,7 +267,8 @@ def link_clusters(members: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): names of sets linked, from rows (name, cluster, blocks, block, shingles)."""
     units = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "name", "shingles", "cluster", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    groups = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), members.count() // UNIT)
+    total = members.agg(F.coalesce(F.sum(F.length("shingles")), F.lit(0))).first()[0]
+    groups = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (8 * UNIT_SHINGLES))
     units = units.withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(groups)))
 
     def run(table: pa.Table) -> pa.Table:
@@ -287,15 +289,16 @@ def link_clusters(members: DataFrame, rule: Rule) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, key: str, text: str, *, size: int = 5, at_least: int = 80, of: int = 100) -> DataFrame:
-    """One row per row: key, n (shingles), name (of its set), component (smallest key)."""
+    """One row per row: key, n (shingles), name (of its set), component (smallest key) and
+    root (a set of the component, which names it also where keys repeat)."""
     rule = Rule(size, at_least, of)
     nodes, edges = candidates(docs, key, text, rule)
     cluster = components(edges)
-    near = nodes.join(cluster, "id").groupBy("name").agg(F.min("root").alias("cluster"))
+    near = nodes.join(cluster, "id").groupBy("name").agg(F.min("root").alias("cluster"), F.max("n").alias("n"))
     near = written(near, "near")  # a row for each set that shares a part with another
-    sizes = near.groupBy("cluster").count().filter("count > 1")
+    sizes = near.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).filter("sets > 1")
     near = near.join(sizes, "cluster").select(
-        "name", "cluster", F.ceil(F.col("count") / UNIT).cast("int").alias("blocks"))
+        "name", "cluster", F.ceil(F.greatest(F.col("sets") / UNIT, F.col("shingles") / UNIT_SHINGLES)).cast("int").alias("blocks"))
     near = near.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     head = F.conv(F.hex(F.substring("name", 1, 7)), 16, 10).cast("long")
     bits = key_bits(near.select(F.shiftleft(head, 8).alias("hash")), "hash")
@@ -325,6 +328,31 @@ def jaccard_components(docs: DataFrame, key: str, text: str, *, size: int = 5, a
     sets = nodes.filter("n > 0").groupBy("name").agg(F.min("key").alias("least"))
     named = sets.join(linked, "name", "left").withColumn("root", F.coalesce("root", "name"))
     roots = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(roots, "root").select("name", "component")
-    out = nodes.filter("n > 0").join(named, "name").select("key", "n", "name", F.coalesce("component", "key").alias("component"))
-    return out.unionByName(nodes.filter("n = 0").select("key", "n", "name", F.col("key").alias("component")))
+    named = named.join(roots, "root").select("name", "component", "root")
+    out = nodes.filter("n > 0").join(named, "name").select("key", "n", "name", F.coalesce("component", "key").alias("component"), "root")
+    return out.unionByName(nodes.filter("n = 0").select("key", "n", "name", F.col("key").alias("component"), F.lit(None).cast("binary").alias("root")))
+
+
+def one_of_each(docs: DataFrame, key: str, text: str, *, size: int = 5, at_least: int = 80, of: int = 100) -> DataFrame:
+    """``docs``, all columns, with one row of each component: that with the smallest key.
+    Where rows share key and set, the largest by its other columns stays. Documents
+    without words, and those linked with nothing, stay as they are."""
+    found = written(jaccard_components(docs, key, text, size=size, at_least=at_least, of=of), "components")
+    # A key may have several rows with different sets: decide by key and set.
+    linked = found.filter("n > 0")
+    chosen = written(linked.groupBy("root").agg(F.min(F.struct("key", "name")).alias("stays"), F.count("*").alias("rows")).filter("rows > 1"), "chosen")
+    decided = linked.join(chosen, "root").select("key", "name", ((F.col("key").eqNullSafe(F.col("stays.key"))) & (F.col("name") == F.col("stays.name"))).alias("stays"))
+    decided = written(decided.groupBy("key", "name").agg(F.max("stays").alias("_stays"), F.count("*").alias("_times"))
+                      .filter("not _stays or _times > 1").withColumnsRenamed({"key": "_k", "name": "_n"}), "dropped")
+    bits = key_bits(decided.select(F.xxhash64("_k").alias("hash")), "hash")
+    marked = docs.withColumn("_maybe", probably_in(docs, F.xxhash64(key), bits))
+
+    def named(column: pa.Array) -> pa.Array:
+        return pa.array([x for part in slices(pa.RecordBatch.from_arrays([column], ["t"]), "t")
+                         for x in names(*sets_of(part.column("t"), size))], pa.binary())
+
+    some = marked.filter("_maybe").withColumn("_name", F.arrow_udf(named, "binary")(F.col(text)))
+    joined = some.join(decided, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_name") == F.col("_n")), "left")
+    one = joined.filter("_stays").groupBy("_k", "_n").agg(F.max(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return marked.filter("not _maybe").select(*docs.columns).unionByName(
+        joined.filter("_stays is null").select(*docs.columns)).unionByName(one)
