@@ -92,7 +92,7 @@ def tile(pairs: np.ndarray, size: int, item_words: int) -> list[tuple[int, int,
 class Items:
     """Seeds of a block of test items."""
 
-    def __init__(self, ids: list, text: pa.Array, shortest: int):
+    def __init__(self, ids: pa.Array, text: pa.Array, shortest: int):
         numbers, first = tokens(text)
         self.ids, self.words = ids, np.diff(first)
         self.by_size = {}
@@ -145,7 +145,7 @@ def blocks(items: DataFrame, item: str, text: str, shortest: int = SHORTEST) ->
     for block in range(n):
         own = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == block).toArrow().combine_chunks()
         if own.num_rows:
-            yield Items(own.column("item").to_pylist(), own.column("text").combine_chunks(), shortest)
+            yield Items(own.column("item").combine_chunks(), own.column("text").combine_chunks(), shortest)
 
 
 def contaminated(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str, *,
@@ -167,7 +167,7 @@ def contaminated(docs: DataFrame, key: str, text: str, items: DataFrame, item: s
                     found = list(own.find(part.column("text"), threshold))
                     n, covered = [int(own.words[i]) for _, i, _ in found], [sum(t[2] for t in tiles) for *_, tiles in found]
                     yield pa.RecordBatch.from_arrays([
-                        part.column("key").take(pa.array([r for r, *_ in found], pa.int64())), pa.array([own.ids[i] for _, i, _ in found]),
+                        part.column("key").take(pa.array([r for r, *_ in found], pa.int64())), own.ids.take(pa.array([i for _, i, _ in found], pa.int64())),
                         pa.array(n, pa.int64()), pa.array(covered, pa.int64()), pa.array([c / m for c, m in zip(covered, n)], pa.float64()),
                         pa.array([[list(t) for t in tiles] for *_, tiles in found], pa.list_(pa.list_(pa.int64())))], schema.names)
 
