@@ -137,7 +137,7 @@ def _count_off(rows: DataFrame, key: str, room: dict[tuple, int]) -> tuple[DataF
     spark = rows.sparkSession
     schema = T.StructType([T.StructField("_p", T.ArrayType(T.StringType())), T.StructField("_room", T.LongType())])
     limits = spark.createDataFrame([(list(p), r) for p, r in room.items()], schema)
-    able = rows.filter(~F.col("_extra")).join(limits, (F.col("_sources") == F.col("_p")) & (F.col("_size") <= F.col("_room")))
+    able = rows.filter(~F.col("_extra")).join(F.broadcast(limits), (F.col("_sources") == F.col("_p")) & (F.col("_size") <= F.col("_room")))
     buckets: dict[tuple, dict[int, int]] = defaultdict(dict)
     for r in able.groupBy("_p", "_bucket").agg(F.sum("_size").alias("words")).collect():
         buckets[tuple(r["_p"])][r["_bucket"]] = r["words"]
@@ -153,7 +153,7 @@ def _count_off(rows: DataFrame, key: str, room: dict[tuple, int]) -> tuple[DataF
     schema.add("_last", T.LongType()).add("_rest", T.LongType())
     cut = spark.createDataFrame(last, schema)
     along = Window.partitionBy("_p").orderBy("_order", key)  # one bucket of each pattern; ties come together
-    ends = able.drop("_p", "_room").join(cut, (F.col("_sources") == F.col("_p")) & (F.col("_bucket") == F.col("_last"))) \
+    ends = able.drop("_p", "_room").join(F.broadcast(cut), (F.col("_sources") == F.col("_p")) & (F.col("_bucket") == F.col("_last"))) \
         .withColumn("_sum", F.sum("_size").over(along)).filter("_sum <= _rest").groupBy("_p").agg(
             F.max(F.struct("_order", F.col(key).alias("_key"), "_sum")).alias("_end"))
     found = {tuple(r["_p"]): r["_end"] for r in ends.collect()}  # a row for each pattern
@@ -167,7 +167,7 @@ def _mark(rows: DataFrame, key: str, cut: DataFrame) -> DataFrame:
     """``rows`` with those that were counted off marked as ``_extra``."""
     upto = F.coalesce(F.col("_end").isNotNull() & (F.struct(F.col("_order"), F.col(key).alias("_key")) <= F.col("_end")), F.lit(False))
     inside = (F.col("_size") <= F.col("_room")) & ((F.col("_bucket") < F.col("_last")) | ((F.col("_bucket") == F.col("_last")) & upto))
-    return rows.join(cut, F.col("_sources") == F.col("_p"), "left") \
+    return rows.join(F.broadcast(cut), F.col("_sources") == F.col("_p"), "left") \
         .withColumn("_extra", F.col("_extra") | F.coalesce(inside, F.lit(False))).drop("_p", "_room", "_last", "_rest", "_end")
 
 
@@ -175,7 +175,7 @@ def mix(docs: DataFrame, key: str, size: Column, sources: Column, *, weights: Se
         total: float = TOTAL, repeats: int = REPEATS, seed: int = SEED) -> tuple[DataFrame, dict, dict]:
     """``docs`` with ``_size``, ``_sources`` and ``_taken`` (words, repeats counted), the
     words of every source, and the targets. ``sources`` is an array (null is a source)."""
-    spark = docs.sparkSession
+    spark = docs.sparkSession  # the tables broadcast below have a row for each pattern, as the driver holds them
 
     def ordered(df: DataFrame) -> DataFrame:
         order = F.xxhash64(F.lit(seed), F.col(key))
@@ -206,7 +206,7 @@ def mix(docs: DataFrame, key: str, size: Column, sources: Column, *, weights: Se
                            T.StructField("_left", T.LongType())])
     ends = spark.createDataFrame([(list(p), whole, left[p]) for p, (whole, _) in plan.items()], schema)
     gap = F.abs(F.col("_size") - F.col("_left"))
-    near = rows.join(ends, F.col("_sources") == F.col("_p")) \
+    near = rows.join(F.broadcast(ends), F.col("_sources") == F.col("_p")) \
         .filter(~F.col("_extra") & (F.col("_whole") < repeats) & (gap < F.col("_left"))).groupBy("_p").agg(
             F.min(F.struct(gap.alias("_gap"), F.col("_order"), F.col(key).alias("_key"), F.col("_size").alias("_words"))).alias("_near"))
     found = {tuple(r["_p"]): r["_near"] for r in near.collect()}  # a row for each pattern
@@ -216,7 +216,7 @@ def mix(docs: DataFrame, key: str, size: Column, sources: Column, *, weights: Se
     out = ordered(sized)
     for cut in cuts:
         out = _mark(out, key, cut)
-    out = out.join(ends, F.col("_sources") == F.col("_p"), "left")
+    out = out.join(F.broadcast(ends), F.col("_sources") == F.col("_p"), "left")
     chosen = F.coalesce((F.col("_order") == F.col("_near._order")) & F.col(key).eqNullSafe(F.col("_near._key"))
                         & (F.col("_size") == F.col("_near._words")) & ~F.col("_extra"), F.lit(False))
     times = F.coalesce(F.col("_whole") + (F.col("_extra") | chosen).cast("long"), F.lit(0))
