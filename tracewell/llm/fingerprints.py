@@ -190,7 +190,8 @@ def exact_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
     keep = suspects.groupBy("sha").agg(F.max(F.struct("key", "block", "pos")).alias("keep"), F.count("*").alias("n"))
     checked = F.when((F.col("n_texts") == 1) & (F.col("n_bytes") == F.col("n")), F.col("n")).otherwise(
         F.raise_error(F.lit("texts changed between two reads, or differ with one SHA-256")).cast("long"))
-    groups = keep.join(verified, "sha").select("sha", "keep", checked.alias("group_size"))
+    # Written, so that the join below has plain shuffles on both sides and a hot group can be split.
+    groups = written(keep.join(verified, "sha").select("sha", "keep", checked.alias("group_size")), "groups")
     stays = (F.col("block") == F.col("keep.block")) & (F.col("pos") == F.col("keep.pos"))
     decided = suspects.join(groups, "sha").select("key", "sha", F.col("keep.key").alias("keep_key"), "group_size", stays.alias("kept"))
     return alone.select("key", "sha", F.col("key").alias("keep_key"), F.lit(1).cast("long").alias("group_size"),
