@@ -1,8 +1,11 @@
 """Trace exports, built in code in the OTLP/JSON form."""
 
 import base64
+import hashlib
 import json
 
+TRACES = [hashlib.md5(name.encode()).digest() for name in ("chat", "messages", "call", "any")]
+
 
 def any_value(value):
     if isinstance(value, bool):
@@ -27,8 +30,8 @@ def attributes(values):
     return [{"key": k, "value": any_value(v)} for k, v in pairs]
 
 
-def span(name, attrs, *, trace=bytes(range(1, 17)), span_id=bytes(range(1, 9)), start=1750000000_000000000,
-         millis=75.0, status=None, events=()):
+def span(name, attrs, *, trace=TRACES[3], span_id=TRACES[3][:8], start=1762340000_000000000,
+         millis=10.0, status=None, events=()):
     return {
         "traceId": base64.b64encode(trace).decode(),
         "spanId": base64.b64encode(span_id).decode(),
@@ -48,98 +51,76 @@ def export(*spans, scope="gateway"):
 CHAT = span(
     "ChatCompletions",
     {
-        "openinference.span.kind": "LLM",
-        "llm.system": "openai",
-        "llm.model_name": "gpt-4o-mini",
-        "llm.invocation_parameters": '{"stream": false, "temperature": 0.7, "max_tokens": 256}',
-        "llm.token_count.prompt": 42,
-        "llm.token_count.completion": 128,
-        "llm.token_count.total": 170,
-        "input.value": '{"messages": [{"role": "user", "content": "hello"}], "api_key": "sk-secret"}',
-        "llm.output_messages.0.message.role": "assistant",
-        "llm.output_messages.0.message.content": "hi",
-        "http.client_ip": "203.0.113.7, 10.0.0.1",
-        "http.user_agent": "test-agent/1.0",
-        "user.id": "user-123",
+        "user.id": "skipper-9",
+        "http.user_agent": "harbour-desk/3.2",
+        "http.client_ip": "192.0.2.44, 172.16.3.9",
+        "gen_ai.system": "tidewater",
+        "gen_ai.request.model": "tidewater-small-3",
+        "gen_ai.usage.input_tokens": 311,
+        "gen_ai.usage.output_tokens": 57,
+        "gen_ai.usage.total_tokens": 368,
+        "gen_ai.request.temperature": 0.25,
+        "gen_ai.request.max_tokens": 90,
+        "llm.invocation_parameters": '{"stream": "no", "temperature": 1, "seed": 5}',
+        "gen_ai.input.value": '{"question": "When does the ferry leave?", "secret": "k-0815"}',
+        "llm.output_messages.1.message.role": "assistant",
+        "llm.output_messages.1.message.content": "At noon.",
     },
-    millis=1250,
+    trace=TRACES[0], span_id=TRACES[0][:8], start=1762345678_500000000, millis=820.25,
 )
-ANTHROPIC = span(
+MESSAGES = span(
     "Messages",
     {
-        "span.kind": "llm",
-        "llm.system": "anthropic",
-        "llm.model": "claude-sonnet-4-6",
-        "llm.invocation_parameters": '{"max_tokens": 1024, "stream": true}',
-        "llm.token_count.prompt": 350,
-        "llm.token_count.completion": 97,
-        "llm.token_count.prompt_cache_hit": 300,
-        "gen_ai.input.value": '{"messages": [{"role": "user", "content": "summarize"}]}',
-        "http.client_ip": "2001:db8::1%eth0",
-        "http.user_agent": "claude-cli/2.0",
+        "openinference.span.kind": "llm",
+        "gen_ai.provider.name": "lighthouse",
+        "embedding.model_name": "lighthouse-xl",
+        "gen_ai.response.model": "lighthouse-xl-0905",
+        "llm.token_count.completion_details.reasoning": 12,
+        "llm.token_count.prompt_details.cache_creation": 64,
+        "llm.invocation_parameters": '{"stream": 1, "top_p": 0.9}',
+        "input.value": "Name three lighthouses",
+        "http.client_ip": "2001:db8:7::f00d",
     },
-    trace=bytes(range(0x21, 0x31)), span_id=bytes(range(0x21, 0x29)), start=1750000020_000000000, millis=2500,
+    trace=TRACES[1], span_id=TRACES[1][:8], start=1762349999_000000000, millis=41,
 )
 LLM_ERROR = span(
-    "ChatCompletions",
-    {
-        "openinference.span.kind": "LLM",
-        "gen_ai.system": "openai",
-        "gen_ai.operation.name": "chat",
-        "gen_ai.request.model": "gpt-4o",
-        "error.type": "rate_limited",
-    },
-    start=1750000030_000000000, millis=100,
-    status={"code": "STATUS_CODE_ERROR", "message": "upstream returned 429"},
+    "Responses",
+    {"gen_ai.request.model": "tidewater-small-3", "span.kind": "LLM", "error.type": "Overloaded"},
+    start=1762350100_000000000, millis=3, status={"code": "STATUS_CODE_ERROR", "message": "no berth free"},
 )
 TOOL_CALL = span(
-    "tools/call get_weather",
+    "call",
     {
         "mcp.method.name": "tools/call",
-        "mcp.tool.name": "get_weather",
-        "mcp.backend.name": "weather-mcp",
-        "mcp.request.id": "42",
-        "mcp.session.id": "sess-1",
-        "mcp.protocol.version": "2025-06-18",
-        "mcp.transport": "http",
-        "mcp.tool.arguments": '{"location": "SF", "units": "metric", "api_key": "xyz"}',
-        "http.client_ip": "198.51.100.9",
-        "http.user_agent": "mcp-client/1.2",
+        "mcp.tool.name": "book_berth",
+        "mcp.server.name": "harbour",
+        "mcp.session.id": "tide-77",
+        "mcp.client.name": "desk",
+        "mcp.client.version": "8",
+        "mcp.request.arguments": '{"boat": "Marie", "nights": 2, "cvv": "901"}',
+        "http.user_agent": "desk/8",
+        "http.client_ip": "192.0.2.91",
     },
-    trace=bytes(range(0x11, 0x21)), span_id=bytes(range(0x11, 0x19)), start=1750000010_000000000,
+    trace=TRACES[2], span_id=TRACES[2][:8], start=1762350200_250000000, millis=12.5,
 )
 TOOL_CALL_ROUTED = span(
-    "tools/call get_weather",
-    {
-        "mcp.method.name": "tools/call",
-        "mcp.tool.name": "get_weather",
-        "mcp.tool.arguments": '{"location": "SF"}',
-        "http.client_ip": "198.51.100.9",
-    },
-    events=[{"mcp.backend.name": "early"}, {"mcp.backend.name": "weather-mcp", "mcp.session.id": "sess-1"}],
+    "call",
+    {"mcp.method.name": "tools/call", "mcp.tool.name": "book_berth", "mcp.tool.arguments": "{}"},
+    events=[{"mcp.server.name": "first"}, {"mcp.session.id": "tide-78", "mcp.server.name": "harbour"}],
 )
 RESOURCE_READ = span(
-    "resources/read",
-    {
-        "mcp.method.name": "resources/read",
-        "mcp.resource.uri": "file:///docs/readme.md",
-        "mcp.backend.name": "docs-mcp",
-        "mcp.request.id": "43",
-        "mcp.transport": "http",
-    },
-    millis=20,
-)
+    "read", {"mcp.resource.uri": "chart://north/12", "mcp.method.name": "resources/read", "mcp.backend": "charts"}, millis=1)
 TOOLS_LIST = span(
-    "tools/list",
+    "list",
     {
         "mcp.method.name": "tools/list",
-        "mcp.backend.name": "weather-mcp",
-        "output.value": json.dumps({"tools": [
-            {"name": "get_weather", "description": "Get weather",
-             "inputSchema": {"type": "object", "properties": {"location": {"type": "string"}}}},
-            {"description": "no name"},
-        ]}),
+        "mcp.backend": "harbour",
+        "mcp.tools.list": json.dumps([
+            {"name": "book_berth", "input_schema": {"required": ["boat"]}, "description": "Reserve a berth", "extra": 1},
+            {"name": "", "description": "left out"},
+            {"name": "tides"},
+        ]),
     },
 )
-INITIALIZE = span("initialize", {"mcp.method.name": "initialize", "mcp.protocol.version": "2025-06-18"})
-NOISE = span("router egress", {"upstream.cluster": "x"})
+INITIALIZE = span("initialize", {"mcp.method.name": "initialize", "mcp.client.name": "desk"})
+NOISE = span("disk flush", {"disk.name": "sda"})

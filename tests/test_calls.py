@@ -178,12 +178,12 @@ def test_inventory_reports(spark):
 @pytest.mark.parametrize("extras, hashed", [
     (["llm.system"], []), ([], ["MCP.session.id"]), (["gen_ai.request.seed"], []), (["http.client_ip"], []),
     (["tenant-id"], ["tenant.id"]), (["mcp.request.argument.x"], [])])
-def test_refused_attributes(extras, hashed):
+def test_refused_attributes(spark, extras, hashed):
     with pytest.raises(ValueError):
         check_extras(extras, hashed, ("http.client_ip", None))
 
 
-def test_attribute_limits():
+def test_attribute_limits(spark):
     assert attribute_names([" a ", "a", "", "b"], "x") == ("a", "b")
     check_extras(["corr.session"], ["corr.session"])
     for names in (["n" * 129], [f"a{i}" for i in range(21)]):
@@ -206,6 +206,6 @@ def test_extras_on_spans(spark):
     assert extras.pop("long").startswith("é" * 100) and bare["extras"] == {}
     assert json.loads(extras.pop("app_list")) == ["a", {"password": R, "http.header.cookie": R}]
     assert extras == {"tenant_id": digest("t1"), "x_api_key": R, "corr_id": digest("c-1"), "zone": 5, "raw": "base64:/w=="}
-    assert row["custom"]["trace_id"] == "0102030405060708090a0b0c0d0e0f10"
+    assert row["custom"]["trace_id"] == S.TRACES[3].hex()
     (row,) = all_mapped(spark, [S.span("x", attrs)], dataclasses.replace(options, secret=None))
     assert str(row["extras"]["corr_id"]) == f'"{R}"'

@@ -54,54 +54,54 @@ def finished(spark, item, options=SpanOptions(), **kw):
 
 def test_chat_span(spark):
     row = mapped(spark, S.CHAT, SpanOptions(user_id_attribute="user.id"))
-    assert row["remote_addr"] == "203.0.113.7"
-    assert row["endpoint"] == "llm://openai/gpt-4o-mini"
-    assert (row["scheme"], row["method"], row["user_id"]) == ("llm", "llm_chat_completion", "user-123")
-    assert row["user_agent"] == "test-agent/1.0"
-    assert row["ts"].isoformat() == "2025-06-15T15:06:40"
+    assert row["remote_addr"] == "192.0.2.44"
+    assert row["endpoint"] == "llm://tidewater/tidewater-small-3"
+    assert (row["scheme"], row["method"], row["user_id"]) == ("llm", "llm_chat_completion", "skipper-9")
+    assert row["user_agent"] == "harbour-desk/3.2"
+    assert row["ts"].isoformat() == "2025-11-05T12:27:58.500000"
     assert row["body"] == {
-        "input": {"messages": [{"role": "user", "content": "hello"}], "api_key": "sk-secret"},
-        "output": [{"role": "assistant", "content": "hi"}],
+        "input": {"question": "When does the ferry leave?", "secret": "k-0815"},
+        "output": [{"role": "assistant", "content": "At noon."}],
     }
     assert row["custom"] == {
-        "integration": "ai-gateway", "event_type": "chat_completion", "provider": "openai",
-        "model": "gpt-4o-mini", "response_model": None, "duration_ms": 1250.0, "status": "ok", "error": None,
-        "streaming": False, "trace_id": "0102030405060708090a0b0c0d0e0f10", "span_id": "0102030405060708",
-        "tokens_prompt": 42, "tokens_completion": 128, "tokens_total": 170, "temperature": 0.7, "max_tokens": 256,
+        "integration": "ai-gateway", "event_type": "chat_completion", "provider": "tidewater",
+        "model": "tidewater-small-3", "response_model": None, "duration_ms": 820.25, "status": "ok", "error": None,
+        "streaming": False, "trace_id": S.TRACES[0].hex(), "span_id": S.TRACES[0][:8].hex(),
+        "tokens_prompt": 311, "tokens_completion": 57, "tokens_total": 368, "temperature": 0.25, "max_tokens": 90,
     }
 
 
-def test_anthropic_span_without_content(spark):
-    row = mapped(spark, S.ANTHROPIC, SpanOptions(capture_llm_content=False))
-    assert row["remote_addr"] == "2001:db8::1%eth0"
-    assert row["endpoint"] == "llm://anthropic/claude-sonnet-4-6"
-    assert (row["method"], row["body"], row["user_id"]) == ("llm_messages", None, None)
-    assert row["ts"].isoformat() == "2025-06-15T15:07:00"
+def test_messages_span_without_content(spark):
+    row = mapped(spark, S.MESSAGES, SpanOptions(capture_llm_content=False))
+    assert row["remote_addr"] == "2001:db8:7::f00d"
+    assert row["endpoint"] == "llm://lighthouse/lighthouse-xl"
+    assert (row["method"], row["body"], row["user_id"], row["user_agent"]) == ("llm_messages", None, None, "tracewell/1.0")
+    assert row["ts"].isoformat() == "2025-11-05T13:39:59"
     assert row["custom"] == {
-        "integration": "ai-gateway", "event_type": "messages", "provider": "anthropic",
-        "model": "claude-sonnet-4-6", "response_model": None, "duration_ms": 2500.0, "status": "ok", "error": None,
-        "streaming": True, "trace_id": "2122232425262728292a2b2c2d2e2f30", "span_id": "2122232425262728",
-        "tokens_prompt": 350, "tokens_completion": 97, "tokens_cache_hit": 300, "max_tokens": 1024,
+        "integration": "ai-gateway", "event_type": "messages", "provider": "lighthouse",
+        "model": "lighthouse-xl", "response_model": "lighthouse-xl-0905", "duration_ms": 41.0, "status": "ok", "error": None,
+        "streaming": True, "trace_id": S.TRACES[1].hex(), "span_id": S.TRACES[1][:8].hex(),
+        "tokens_cache_write": 64, "tokens_reasoning": 12, "top_p": 0.9,
     }
 
 
 def test_tool_call_span(spark):
     row = mapped(spark, S.TOOL_CALL)
-    arguments = {"location": "SF", "units": "metric", "api_key": "xyz"}
-    assert (row["remote_addr"], row["endpoint"]) == ("198.51.100.9", "mcp://weather-mcp/get_weather")
+    arguments = {"boat": "Marie", "nights": 2, "cvv": "901"}
+    assert (row["remote_addr"], row["endpoint"]) == ("192.0.2.91", "mcp://harbour/book_berth")
     assert (row["scheme"], row["method"], row["body"]) == ("mcp", "mcp_tool_call", arguments)
     assert row["custom"] == {
-        "integration": "ai-gateway", "mcp_server": "weather-mcp", "handler_name": "get_weather",
-        "event_type": "tool_call", "duration_ms": 75.0, "arguments": arguments, "error": None,
-        "result_summary": None, "session_id": "sess-1", "client_name": None, "client_version": None,
-        "request_id": "42", "mcp_transport": "http", "mcp_protocol_version": "2025-06-18",
-        "trace_id": "1112131415161718191a1b1c1d1e1f20", "span_id": "1112131415161718",
+        "integration": "ai-gateway", "mcp_server": "harbour", "handler_name": "book_berth",
+        "event_type": "tool_call", "duration_ms": 12.5, "arguments": arguments, "error": None,
+        "result_summary": None, "session_id": "tide-77", "client_name": "desk", "client_version": "8",
+        "request_id": None, "mcp_transport": None, "mcp_protocol_version": None,
+        "trace_id": S.TRACES[2].hex(), "span_id": S.TRACES[2][:8].hex(),
     }
 
 
 def test_error_span(spark):
     row = mapped(spark, S.LLM_ERROR)
-    assert row["error"] == row["custom"]["error"] == "upstream returned 429"
+    assert row["error"] == row["custom"]["error"] == "no berth free"
     assert row["custom"]["status"] == row["status"] == "error"
     assert row["remote_addr"] is None and row["user_agent"] == "tracewell/1.0"
 
@@ -114,16 +114,15 @@ def test_error_type_without_status(spark):
 
 def test_route_from_span_events(spark):
     row = mapped(spark, S.TOOL_CALL_ROUTED)
-    assert (row["mcp_server"], row["session_id"]) == ("weather-mcp", "sess-1")
+    assert (row["mcp_server"], row["session_id"]) == ("harbour", "tide-78")
 
 
 def test_resource_and_listing(spark):
     read, row = all_mapped(spark, [S.RESOURCE_READ, S.TOOLS_LIST])
-    assert read["endpoint"] == "mcp://docs-mcp/file:///docs/readme.md"
-    assert (row["endpoint"], row["method"], row["body"]) == ("mcp://weather-mcp/schema_report", "mcp_schema_report", None)
-    tool = {"name": "get_weather", "description": "Get weather",
-            "input_schema": {"type": "object", "properties": {"location": {"type": "string"}}}}
-    assert row["custom"]["tools"] == [tool]
+    assert read["endpoint"] == "mcp://charts/chart://north/12"
+    assert (row["endpoint"], row["method"], row["body"]) == ("mcp://harbour/schema_report", "mcp_schema_report", None)
+    assert [t["name"] for t in row["custom"]["tools"]] == ["book_berth", "tides"]
+    assert row["custom"]["tools"][0] == {"name": "book_berth", "description": "Reserve a berth", "input_schema": {"required": ["boat"]}}
     assert row["custom"]["resources"] == row["custom"]["prompts"] == []
     assert "duration_ms" not in row["custom"]
 
@@ -270,10 +269,10 @@ def test_read_from_files(spark, tmp_path):
 
 def test_finished_event_is_scrubbed(spark):
     chat, row, failed = all_finished(spark, [S.CHAT, S.TOOL_CALL, S.LLM_ERROR])
-    assert chat["body"]["input"]["api_key"] == "[REDACTED]"
-    assert chat["remote_addr"] == "203.0.113.7" and chat["size_action"] == "fits"
+    assert chat["body"]["input"] == {"question": "When does the ferry leave?", "secret": "[REDACTED]"}
+    assert chat["remote_addr"] == "192.0.2.44" and chat["size_action"] == "fits"
     assert failed["remote_addr"] == "unknown"
-    assert row["body"] == row["custom_data"]["arguments"] == {"location": "SF", "units": "metric", "api_key": "[REDACTED]"}
+    assert row["body"] == row["custom_data"]["arguments"] == {"boat": "Marie", "nights": 2, "cvv": "[REDACTED]"}
     row = finished(spark, S.TOOL_CALL, SpanOptions(capture_mcp_arguments=False))
     assert (row["body"], row["custom_data"]["arguments"]) == (None, {})
 

@@ -25,47 +25,64 @@ HEALTH_SEGMENTS = (
     "ready", "readyz", "readiness", "live", "livez", "liveness",
 )
 
+# Names and name prefixes of the span attributes that the mapping reads, as declared below.
+READ_NAMES: set[str] = set()
+READ_PREFIXES: set[str] = set()
+
+
+def _read(*names: str) -> tuple[str, ...]:
+    READ_NAMES.update(names)
+    return names
+
+
+def _read_below(prefix: str) -> str:
+    READ_PREFIXES.add(prefix)
+    return prefix
+
+
 # Span attribute names, in order of preference.
-MODEL_KEYS = ("llm.model_name", "embedding.model_name", "llm.model", "gen_ai.request.model")
-PROVIDER_KEYS = ("llm.system", "gen_ai.provider.name", "gen_ai.system")
-RESPONSE_MODEL_KEYS = ("gen_ai.response.model",)
-INPUT_KEYS = ("input.value", "gen_ai.input.value", "gen_ai.request.input")
-OUTPUT_KEYS = ("output.value", "gen_ai.output.value")
-ROUTE_KEYS = ("http.route", "url.path", "http.target")
-INVOCATION_KEYS = ("llm.invocation_parameters", "embedding.invocation_parameters")
-SPAN_KIND_KEYS = ("openinference.span.kind", "span.kind")
+MODEL_KEYS = _read("llm.model_name", "embedding.model_name", "llm.model", "gen_ai.request.model")
+PROVIDER_KEYS = _read("llm.system", "gen_ai.provider.name", "gen_ai.system")
+RESPONSE_MODEL_KEYS = _read("gen_ai.response.model",)
+INPUT_KEYS = _read("input.value", "gen_ai.input.value", "gen_ai.request.input")
+OUTPUT_KEYS = _read("output.value", "gen_ai.output.value")
+ROUTE_KEYS = _read("http.route", "url.path", "http.target")
+INVOCATION_KEYS = _read("llm.invocation_parameters", "embedding.invocation_parameters")
+SPAN_KIND_KEYS = (*_read("openinference.span.kind"), "span.kind")
 SPAN_KIND_VALUES = ("llm", "embedding")
-OPERATION_KEY = "gen_ai.operation.name"
-REQUEST_PREFIX = "gen_ai.request."
+(OPERATION_KEY,) = _read("gen_ai.operation.name")
+REQUEST_PREFIX = _read_below("gen_ai.request.")
 REQUEST_PARAMS = ("temperature", "top_p", "max_tokens")
-INPUT_MESSAGES = "llm.input_messages"
-OUTPUT_MESSAGES = "llm.output_messages"
-ERROR_KEY = "error.type"
-
-MCP_METHOD_KEY = "mcp.method.name"
-SERVER_KEYS = ("mcp.backend.name", "mcp.backend", "mcp.server.name")
-SESSION_KEYS = ("mcp.session.id", "session.id")
-CLIENT_NAME_KEY = "mcp.client.name"
-CLIENT_VERSION_KEY = "mcp.client.version"
-REQUEST_ID_KEY = "mcp.request.id"
-TRANSPORT_KEY = "mcp.transport"
-PROTOCOL_KEY = "mcp.protocol.version"
-ARGUMENT_KEYS = (
+(INPUT_MESSAGES,) = _read("llm.input_messages")
+(OUTPUT_MESSAGES,) = _read("llm.output_messages")
+(ERROR_KEY,) = _read("error.type")
+_read_below(INPUT_MESSAGES + ".")
+_read_below(OUTPUT_MESSAGES + ".")
+
+(MCP_METHOD_KEY,) = _read("mcp.method.name")
+SERVER_KEYS = _read("mcp.backend.name", "mcp.backend", "mcp.server.name")
+SESSION_KEYS = _read("mcp.session.id", "session.id")
+(CLIENT_NAME_KEY,) = _read("mcp.client.name")
+(CLIENT_VERSION_KEY,) = _read("mcp.client.version")
+(REQUEST_ID_KEY,) = _read("mcp.request.id")
+(TRANSPORT_KEY,) = _read("mcp.transport")
+(PROTOCOL_KEY,) = _read("mcp.protocol.version")
+ARGUMENT_KEYS = _read(
     "mcp.tool.arguments", "mcp.request.arguments", "mcp.tool.call.arguments", "input.value",
 )
-ARGUMENT_PREFIX = "mcp.request.argument."
-TOOL_LIST_KEYS = ("mcp.tools.list", "output.value")
+ARGUMENT_PREFIX = _read_below("mcp.request.argument.")
+TOOL_LIST_KEYS = _read("mcp.tools.list", "output.value")
 
 # Event column <- span attributes, first present one.
 TOKEN_KEYS = {
-    "tokens_prompt": ("llm.token_count.prompt", "gen_ai.usage.input_tokens"),
-    "tokens_completion": ("llm.token_count.completion", "gen_ai.usage.output_tokens"),
-    "tokens_total": ("llm.token_count.total", "gen_ai.usage.total_tokens"),
-    "tokens_cache_hit": (
+    "tokens_prompt": _read("llm.token_count.prompt", "gen_ai.usage.input_tokens"),
+    "tokens_completion": _read("llm.token_count.completion", "gen_ai.usage.output_tokens"),
+    "tokens_total": _read("llm.token_count.total", "gen_ai.usage.total_tokens"),
+    "tokens_cache_hit": _read(
         "llm.token_count.prompt_details.cache_read", "llm.token_count.prompt_cache_hit",
     ),
-    "tokens_cache_write": ("llm.token_count.prompt_details.cache_creation",),
-    "tokens_reasoning": (
+    "tokens_cache_write": _read("llm.token_count.prompt_details.cache_creation",),
+    "tokens_reasoning": _read(
         "llm.token_count.completion_details.reasoning",
         "llm.token_count.completion.reasoning",
         "llm.token_count.completion_reasoning",
@@ -100,9 +117,9 @@ EMBEDDING_HINTS = (
 )
 # JSON-RPC method -> (event method, event type, handler attribute).
 MCP_METHODS = {
-    "tools/call": ("mcp_tool_call", "tool_call", "mcp.tool.name"),
-    "resources/read": ("mcp_resource_read", "resource_read", "mcp.resource.uri"),
-    "prompts/get": ("mcp_prompt_get", "prompt_get", "mcp.prompt.name"),
+    "tools/call": ("mcp_tool_call", "tool_call", *_read("mcp.tool.name")),
+    "resources/read": ("mcp_resource_read", "resource_read", *_read("mcp.resource.uri")),
+    "prompts/get": ("mcp_prompt_get", "prompt_get", *_read("mcp.prompt.name")),
 }
 
 # Lower-cased request paths that are model APIs, as one regular expression.

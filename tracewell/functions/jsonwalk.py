@@ -26,7 +26,7 @@ from tracewell.constants import (
     TRUNCATION_MARK,
 )
 from tracewell.functions.lets import any_of
-from tracewell.functions.names import sensitive
+from tracewell.functions.names import SENSITIVE_NAME
 from tracewell.operators.rules import Rule
 
 _UNREADABLE = ""
@@ -80,7 +80,7 @@ class Walk:
         return REDACTED
 
     def member(self, name: str, value: object, depth: int) -> object:
-        if name.lower() in self.keys or (self.word_runs and sensitive(name)):
+        if name.lower() in self.keys or (self.word_runs and re.search(SENSITIVE_NAME, name)):
             return REDACTED
         for rule in self.rules:
             if rule.on_keys and rule.compiled.search(name):

@@ -2,46 +2,35 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracewell.constants import SENSITIVE_KEYS
 
-# Word boundaries, valid in both Java and Python: an acronym before a
-# capitalised word, and a lower-case letter or digit before a capital.
-_ACRONYM = r"([A-Z])(?=[A-Z][a-z])"
-_CAMEL = r"([a-z0-9])(?=[A-Z])"
-_SEPARATOR = r"[^a-z0-9]+"
-_RUN = max(key.count("_") + 1 for key in SENSITIVE_KEYS)
-
+# Where a word begins inside letters and digits: at a capital behind a small letter or
+# digit, and at the last of several capitals before a small letter.
+_TURN = r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])"
 
-def name_words(name: Column) -> Column:
-    """Lower-case words of an attribute name."""
-    marked = F.regexp_replace(F.regexp_replace(F.trim(name), _ACRONYM, "$1_"), _CAMEL, "$1_")
-    return F.filter(F.split(F.lower(marked), _SEPARATOR), lambda w: w != "")
 
+def _spelled(word: str) -> str:
+    """A word in the spellings that have no turn inside: small, Capital and CAPITALS."""
+    return f"(?:[{word[0].upper()}{word[0]}]{word[1:]}|{word.upper()})"
 
-def name_key(name: Column) -> Column:
-    """The words joined by ``_``."""
-    return F.array_join(name_words(name), "_")
 
+#: Finds a sensitive key among the words of a name; one pattern for Java and Python.
+SENSITIVE_NAME = (
+    rf"(?:(?<![A-Za-z0-9])|{_TURN})(?:"
+    + "|".join(rf"(?:[^A-Za-z0-9]+|{_TURN})".join(map(_spelled, key.split("_"))) for key in SENSITIVE_KEYS)
+    + rf")(?:(?![A-Za-z0-9])|{_TURN})"
+)
 
-def is_sensitive_name(name: Column) -> Column:
-    """Whether any run of words, joined by ``_``, is a sensitive key."""
-    fenced = F.concat(F.lit("_"), name_key(name), F.lit("_"))
-    return fenced.rlike("_(?:" + "|".join(SENSITIVE_KEYS) + ")_")
 
-
-def words_of(name: str) -> list[str]:
-    """Plan-time form of :func:`name_words` for configured names."""
-    marked = re.sub(_CAMEL, r"\1_", re.sub(_ACRONYM, r"\1_", name.strip()))
-    return [word for word in re.split(_SEPARATOR, marked.lower()) if word]
+def name_key(name: Column) -> Column:
+    """The lower-case words of an attribute name, joined by ``_``."""
+    parted = F.regexp_replace(name, rf"(?:{_TURN})|[^A-Za-z0-9]+", "_")
+    return F.lower(F.regexp_replace(parted, "^_+|_+$|(?<=_)_+", ""))
 
 
-def sensitive(name: str, keys: frozenset[str] = frozenset(SENSITIVE_KEYS)) -> bool:
-    """Plan-time form of :func:`is_sensitive_name`."""
-    words = words_of(name)
-    runs = {"_".join(words[i : i + n]) for n in range(1, _RUN + 1) for i in range(len(words) - n + 1)}
-    return not runs.isdisjoint(keys)
+def is_sensitive_name(name: Column) -> Column:
+    """Whether words of the name that follow each other spell a sensitive key."""
+    return name.rlike(SENSITIVE_NAME)

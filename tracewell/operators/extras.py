@@ -2,55 +2,57 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell import constants as C
 from tracewell.functions.hashing import hmac_hex
 from tracewell.functions.jsonwalk import Walk, rewrite
-from tracewell.functions.names import sensitive, words_of
+from tracewell.functions.names import SENSITIVE_NAME, name_key
 from tracewell.functions.variants import OBJECT, as_text, is_container, is_string, to_object
 from tracewell.operators.privacy import fit_encoded
 
-# Attributes the span mapping reads itself, and name prefixes of such families.
-OWNED = frozenset(
-    C.MODEL_KEYS + C.PROVIDER_KEYS + C.RESPONSE_MODEL_KEYS + C.INPUT_KEYS + C.OUTPUT_KEYS
-    + C.ROUTE_KEYS + C.INVOCATION_KEYS + C.SERVER_KEYS + C.SESSION_KEYS + C.ARGUMENT_KEYS
-    + C.TOOL_LIST_KEYS
-    + (C.OPERATION_KEY, C.SPAN_KIND_KEYS[0], C.INPUT_MESSAGES, C.OUTPUT_MESSAGES, C.ERROR_KEY,
-       C.MCP_METHOD_KEY, C.CLIENT_NAME_KEY, C.CLIENT_VERSION_KEY, C.REQUEST_ID_KEY,
-       C.TRANSPORT_KEY, C.PROTOCOL_KEY)
-    + tuple(name for names in C.TOKEN_KEYS.values() for name in names)
-    + tuple(handler for _, _, handler in C.MCP_METHODS.values())
-)
-OWNED_PREFIXES = (C.INPUT_MESSAGES + ".", C.OUTPUT_MESSAGES + ".", C.REQUEST_PREFIX, C.ARGUMENT_PREFIX)
-
 
 def attribute_names(names: Sequence[str], what: str) -> tuple[str, ...]:
-    """Trimmed, de-duplicated names in order; ValueError beyond the limits."""
-    kept = tuple(dict.fromkeys(name.strip() for name in names if name.strip()))
-    for name in kept:
-        if len(name) > C.MAX_EXTRA_NAME_CHARS:
-            raise ValueError(f"{what}: {name[:40]!r}... is longer than {C.MAX_EXTRA_NAME_CHARS} characters")
-    if len(kept) > C.MAX_EXTRA_ATTRIBUTES:
-        raise ValueError(f"{what}: at most {C.MAX_EXTRA_ATTRIBUTES} attributes")
-    return kept
+    """The distinct names without outer blanks, in order; ValueError if there are too
+    many of them or any is too long."""
+    chosen = tuple(dict.fromkeys(filter(None, map(str.strip, names))))
+    faults = [f"{n[:40]!r}... has over {C.MAX_EXTRA_NAME_CHARS} characters" for n in chosen if len(n) > C.MAX_EXTRA_NAME_CHARS]
+    if len(chosen) > C.MAX_EXTRA_ATTRIBUTES:
+        faults.append(f"{len(chosen)} attributes, {C.MAX_EXTRA_ATTRIBUTES} are allowed")
+    if faults:
+        raise ValueError(f"{what}: {'; '.join(faults)}")
+    return chosen
+
+
+def mapping_reads(name: Column) -> Column:
+    """Whether the span mapping itself reads an attribute of this name."""
+    small = F.lower(F.trim(name))
+    return reduce(or_, (F.startswith(small, F.lit(p)) for p in sorted(C.READ_PREFIXES)), small.isin(*sorted(C.READ_NAMES)))
 
 
 def check_extras(extras: Sequence[str], hashed: Sequence[str], reserved: Sequence[str | None] = ()) -> None:
-    """Refuse, before any row is read, a name the mapping reads itself (its raw
-    value would stay beside the digest) and two names with one derived key."""
-    owned = OWNED | {name.strip().lower() for name in reserved if name}
-    claimed: dict[str, str] = {}
-    for name in (*extras, *hashed):
-        lowered = name.strip().lower()
-        if lowered in owned or lowered.startswith(OWNED_PREFIXES):
-            raise ValueError(f"attribute {name!r} is already read by the span mapping")
-        key = "_".join(words_of(name))
-        if claimed.setdefault(key, name.strip()) != name.strip():
-            raise ValueError(f"attributes {name!r} and {claimed[key]!r} both map to key {key!r}")
+    """ValueError, before any row is read, for attributes that the mapping reads anyway (a
+    digest would stand beside the raw value) and for two that become one key. Names are
+    judged by the columns that later judge the rows."""
+    names = sorted({n.strip() for n in (*extras, *hashed)})
+    if not names:
+        return
+    spark = SparkSession.active()
+    judged = spark.createDataFrame([(n,) for n in names], "name string").select(
+        "name", name_key(F.col("name")).alias("key"),
+        (mapping_reads(F.col("name")) | F.lower("name").isin(*(r.strip().lower() for r in reserved if r))).alias("read")).collect()
+    if read := [r["name"] for r in judged if r["read"]]:
+        raise ValueError(f"the span mapping already reads {read}")
+    keys = Counter(r["key"] for r in judged)
+    if clashing := [r["name"] for r in judged if keys[r["key"]] > 1]:
+        raise ValueError(f"these attributes share a key: {clashing}")
 
 
 def stable_text(value: Column) -> Column:
@@ -71,14 +73,14 @@ def extra_fields(attrs: Column, extras: Sequence[str], hashed: Sequence[str], se
         found = F.try_element_at(attrs, F.lit(name))
         return F.when(~F.is_variant_null(found), found)
 
-    def collect(pairs: list[tuple[str, Column]]) -> Column:
-        entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs])
+    def collect(pairs: list[tuple[Column, Column]]) -> Column:
+        entries = F.array(*[F.struct(k.alias("key"), v.alias("value")) for k, v in pairs])
         return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
     pairs, nested = [], []
     for name in plain:
-        key, found = "_".join(words_of(name)), value(name)
-        if sensitive(name):
+        key, found = name_key(F.lit(name)), value(name)
+        if re.search(SENSITIVE_NAME, name):
             pairs.append((key, F.when(found.isNotNull(), F.lit(C.REDACTED).cast("variant"))))
             continue
         nested.append((key, F.when(is_container(found), found)))
@@ -87,7 +89,7 @@ def extra_fields(attrs: Column, extras: Sequence[str], hashed: Sequence[str], se
     for name in hashed:
         found = value(name)
         digest = hmac_hex(stable_text(found), secret) if secret else F.lit(C.REDACTED)
-        pairs.append(("_".join(words_of(name)), F.when(found.isNotNull(), digest.cast("variant"))))
+        pairs.append((name_key(F.lit(name)), F.when(found.isNotNull(), digest.cast("variant"))))
     result = collect(pairs) if pairs else nothing
     if nested:
         structured = collect(nested)

@@ -37,7 +37,7 @@ from tracewell.operators.messages import messages
 
 @dataclass(frozen=True)
 class SpanOptions:
-    """How spans become events; checked when built."""
+    """How spans become events; sizes are checked when built, names when spans are mapped."""
 
     client_ip_attribute: str = "http.client_ip"
     user_agent_attribute: str = "http.user_agent"
@@ -54,8 +54,6 @@ class SpanOptions:
     def __post_init__(self) -> None:
         for field in ("extra_attributes", "hash_attributes"):
             object.__setattr__(self, field, attribute_names(getattr(self, field), field))
-        check_extras(self.extra_attributes, self.hash_attributes,
-                     (self.client_ip_attribute, self.user_id_attribute, self.user_agent_attribute))
 
 
 def _attr(attrs: Column, name: str) -> Column:
@@ -235,6 +233,8 @@ def map_spans(spans: DataFrame, options: SpanOptions = SpanOptions()) -> DataFra
     interest and ``filtered`` for protocol calls without an event. ``custom`` and
     ``extras`` are maps; ``finalize_events`` turns them into ``custom_data``.
     """
+    check_extras(options.extra_attributes, options.hash_attributes,
+                 (options.client_ip_attribute, options.user_id_attribute, options.user_agent_attribute))
     attrs = F.col("attrs")
     row = _resolve(_read(spans, options), options)
     llm = F.col("kind") == "llm"
