@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +113,19 @@ def test_settings(spark):
     with pytest.raises(ValueError):
         writers.write_events(jobs.bounded_intake(spark.readStream.format("rate"), max_offsets=5).load().selectExpr(
             "timestamp ts", "'llm' kind", "'llm' outcome"), "x")
+
+
+def test_open_windows_are_stored(spark, tmp_path):
+    """The last windows are in the table although no watermark has passed them."""
+    (tmp_path / "in").mkdir()
+    for n, hours in enumerate(([1, 1, 26], [2, 50], [51])):
+        rows = "\n".join(f'{{"ts":"2026-01-01T00:00:00Z","h":{h}}}' for h in hours)
+        (tmp_path / "in" / f"{n}.json").write_text(rows + "\n")
+        os.utime(tmp_path / "in" / f"{n}.json", (1_700_000_000 + n * 60,) * 2)  # files are taken in this order
+    events = spark.readStream.schema("ts timestamp, h int").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    events = events.select((F.col("ts") + F.make_dt_interval(F.lit(0), F.col("h"))).alias("ts"), F.lit("p").alias("provider"), F.lit(2).alias("tokens_total"))
+    totals = jobs.windowed_tokens(events, "1 day", ("provider",))
+    path = str(tmp_path / "out")
+    jobs.stream_latest(totals, path, checkpoint=str(tmp_path / "state"), trigger=jobs.ONCE).awaitTermination()
+    got = jobs.latest_rows(spark, path, totals.schema, ("window_start", "provider")).orderBy("window_start").collect()
+    assert [(r["window_start"].day, r["calls"], r["tokens"]) for r in got] == [(1, 3, 6), (2, 1, 2), (3, 2, 4)]

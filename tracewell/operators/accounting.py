@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,8 +12,7 @@ from pyspark.sql import types as T
 
 from tracewell.constants import REDACTED, SENSITIVE_KEYS
 from tracewell.functions.names import is_sensitive_name, name_key
-from tracewell.functions.variants import as_object, as_text
-from tracewell.operators.extras import OWNED, OWNED_PREFIXES
+from tracewell.operators.extras import mapping_reads
 from tracewell.operators.filters import ai_verdict
 from tracewell.operators.rules import Rule
 
@@ -74,17 +74,13 @@ def scale_sampled_counts(df: DataFrame, rate: float, keys: Sequence[str]) -> Dat
 
 
 def _redacted_entries(df: DataFrame, col: str) -> Column:
-    """Keys with a redacted value at the top level and one level below."""
-    dtype = df.schema[col].dataType
-    members = F.transform_values(col, lambda k, v: v.cast("variant")) if isinstance(dtype, T.MapType) else as_object(
-        F.col(col))
-
-    def hidden(found: Column) -> Column:
-        return F.map_keys(F.map_filter(found, lambda k, v: F.coalesce(as_text(v) == REDACTED, F.lit(False))))
-
-    below = F.flatten(F.transform(F.map_values(members), lambda v: F.coalesce(
-        hidden(as_object(v)), F.array().cast("array<string>"))))
-    return F.concat(hidden(members), below)
+    """Keys with a redacted value, at every depth and through lists. They are found in the
+    JSON text: a key stands behind ``{`` or ``,``, a quote inside a string behind ``\\``."""
+    value = F.col(col)
+    if isinstance(df.schema[col].dataType, T.MapType):
+        value = F.transform_values(col, lambda k, v: v.cast("variant"))
+    found = rf'(?<=[{{,])"((?:[^"\\]|\\.)*)":"{re.escape(REDACTED)}"'
+    return F.regexp_extract_all(F.to_json(value), F.lit(found), 1)
 
 
 def redaction_coverage(df: DataFrame, col: str) -> DataFrame:
@@ -100,17 +96,12 @@ def attribute_catalog(spans: DataFrame, attrs: str = "attrs", trace: str = "trac
     sensitive, whether the mapping reads it, and how many names share the key."""
     names = spans.select(F.explode(F.map_keys(attrs)).alias("name"), F.col(trace).alias("_trace"))
     used = names.groupBy("name").agg(F.count("*").alias("spans"), F.approx_count_distinct("_trace").alias("traces"))
-    lowered = F.lower(F.trim("name"))
-    owned = lowered.isin(*sorted(OWNED))
-    for prefix in OWNED_PREFIXES:
-        owned = owned | F.startswith(lowered, F.lit(prefix))
     described = used.withColumns({
         "derived_key": name_key(F.col("name")),
         "sensitive": is_sensitive_name(F.col("name")),
-        "owned": owned,
+        "owned": mapping_reads(F.col("name")),
     })
-    shared = described.groupBy("derived_key").agg(F.count("*").alias("names_with_key"))
-    return described.join(shared, "derived_key")
+    return described.withColumn("names_with_key", F.count("*").over(Window.partitionBy("derived_key")))
 
 
 def pii_hit_report(df: DataFrame, cols: Sequence[str], rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:

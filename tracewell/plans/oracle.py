@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tracewell.operators.extras import OWNED, OWNED_PREFIXES
 from tracewell.plans.sample_tables import SECRET
 
 ORACLE: dict[str, str] = {}
@@ -152,7 +151,7 @@ SUMMARY = f"""CASE {K} % 5 WHEN 0 THEN 'dict(keys=2)' WHEN 1 THEN 'list(len=3)'
 _sql("summarize_result", f"SELECT event_id, {SUMMARY} AS result_summary FROM events")
 # Sizes of the rendered event and of its shed forms.
 SIZED = """parts AS (
-    SELECT doc_id, source, lang, left(text, 4000) AS body, left(text, 1500) AS extra FROM documents),
+    SELECT doc_id, source, lang, text AS body, text AS extra FROM documents),
   sizes AS (
     SELECT doc_id, source,
       strlen('{"remote_addr":null,"endpoint":"/d","scheme":"http","method":"POST","timestamp":"2024-01-01T00:00:00.000000+00:00","custom_data":,"headers":null,"query_params":null,"body":,"user_agent":null,"user_id":null}') AS base,
@@ -174,7 +173,8 @@ _sql("payload_size_report", """
     round(quantile_cont(event_bytes, 0.5), 6) AS p50_bytes, round(quantile_cont(event_bytes, 0.95), 6) AS p95_bytes,
     max(event_bytes) AS max_bytes FROM sized GROUP BY source, size_action""", SIZED)
 _sql("redaction_coverage", """
-  SELECT key, CASE WHEN key IN ('api_key', 'cvv') THEN (SELECT count(*) FROM documents) ELSE 0 END AS redactions
+  SELECT key, CASE WHEN key IN ('api_key', 'cvv', 'password') THEN 1 WHEN key = 'token' THEN 2 ELSE 0 END
+    * (SELECT count(*) FROM documents) AS redactions
   FROM (SELECT unnest(['password', 'passwd', 'secret', 'token', 'api_key', 'apikey', 'api_secret', 'access_token',
     'refresh_token', 'authorization', 'auth', 'credential', 'credentials', 'private_key', 'ssh_key', 'session_id',
     'session_token', 'cookie', 'credit_card', 'card_number', 'cvv', 'ssn']) AS key)""")
@@ -271,8 +271,18 @@ _sql("outcome_accounting", """
 WORDS = r"regexp_replace(lower(regexp_replace(regexp_replace(name, '([a-z0-9])([A-Z])', '\1_\2', 'g'), '([A-Z])([A-Z][a-z])', '\1_\2', 'g')), '[^a-z0-9]+', '_', 'g')"
 RISKY = "(^|_)(password|passwd|secret|token|api_key|apikey|api_secret|access_token|refresh_token|authorization|auth|" \
     "credential|credentials|private_key|ssh_key|session_id|session_token|cookie|credit_card|card_number|cvv|ssn)(_|$)"
-OWNED_SQL = "name IN (" + ", ".join(f"'{n}'" for n in sorted(OWNED)) + ") OR " + " OR ".join(
-    f"starts_with(name, '{p}')" for p in OWNED_PREFIXES)
+OWNED_SQL = """name IN ('llm.model_name', 'embedding.model_name', 'llm.model', 'gen_ai.request.model', 'llm.system', 'gen_ai.provider.name',
+    'gen_ai.system', 'gen_ai.response.model', 'input.value', 'gen_ai.input.value', 'gen_ai.request.input', 'output.value',
+    'gen_ai.output.value', 'http.route', 'url.path', 'http.target', 'llm.invocation_parameters', 'embedding.invocation_parameters',
+    'openinference.span.kind', 'gen_ai.operation.name', 'llm.input_messages', 'llm.output_messages', 'error.type', 'mcp.method.name',
+    'mcp.backend.name', 'mcp.backend', 'mcp.server.name', 'mcp.session.id', 'session.id', 'mcp.client.name', 'mcp.client.version',
+    'mcp.request.id', 'mcp.transport', 'mcp.protocol.version', 'mcp.tool.arguments', 'mcp.request.arguments', 'mcp.tool.call.arguments',
+    'mcp.tools.list', 'llm.token_count.prompt', 'gen_ai.usage.input_tokens', 'llm.token_count.completion', 'gen_ai.usage.output_tokens',
+    'llm.token_count.total', 'gen_ai.usage.total_tokens', 'llm.token_count.prompt_details.cache_read', 'llm.token_count.prompt_cache_hit',
+    'llm.token_count.prompt_details.cache_creation', 'llm.token_count.completion_details.reasoning',
+    'llm.token_count.completion.reasoning', 'llm.token_count.completion_reasoning', 'mcp.tool.name', 'mcp.resource.uri', 'mcp.prompt.name')
+    OR starts_with(name, 'llm.input_messages.') OR starts_with(name, 'llm.output_messages.')
+    OR starts_with(name, 'gen_ai.request.') OR starts_with(name, 'mcp.request.argument.')"""
 _sql("attribute_catalog", f"""
   SELECT name, {WORDS} AS derived_key, regexp_matches({WORDS}, '{RISKY}') AS sensitive, ({OWNED_SQL}) AS owned, spans,
     count(*) OVER (PARTITION BY {WORDS}) AS names_with_key
@@ -323,7 +333,7 @@ _sql("definition_drift", """
 
 _sql("endpoint_inventory", """
   SELECT kind, endpoint, method, count(*) AS calls, count(*) FILTER (status = 'error') AS errors,
-    round(sum(duration_ms), 2) AS sum_duration_ms, round(quantile_cont(round(duration_ms, 2), 0.95), 6) AS p95_duration_ms,
+    round(sum(duration_ms), 2) AS sum_duration_ms, round(quantile_cont(duration_ms, 0.95), 6) AS p95_duration_ms,
     min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us FROM calls GROUP BY 1, 2, 3""", CALLS)
 _sql("observed_arguments", """
   SELECT 'mcp://server-' || (user_id % 7) || '/' || event_type AS endpoint, argument, count(*) AS calls
@@ -428,10 +438,8 @@ _sql("dedup_spans", """
 _sql("stream_calls", f"""
   SELECT event_id, {_hmac('user_id')} AS user_id, endpoint, epoch_us(ts) AS ts_us FROM calls
   WHERE status = 'ok' AND ('0x' || substr(md5(session_id), 1, 8))::UBIGINT / 4294967296.0 < 0.5""", CALLS)
-# A window is written once the watermark, ten minutes behind the last event, has passed its end.
 _sql("stream_windowed_tokens", """
   SELECT epoch_us(w) AS window_us, provider, count(*) AS calls, sum(tokens_total)::BIGINT AS tokens
-  FROM (SELECT *, date_trunc('day', ts) AS w FROM calls)
-  WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""", CALLS)
+  FROM (SELECT *, date_trunc('day', ts) AS w FROM calls) GROUP BY 1, 2""", CALLS)
 _sql("stream_dedup_spans", """
   SELECT DISTINCT md5(CAST(event_id % 5000 AS VARCHAR)) AS trace_id, event_id % 2 AS span_id FROM events""")

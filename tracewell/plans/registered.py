@@ -294,8 +294,8 @@ def _sized_documents(spark, sf_dir):
         F.timestamp_seconds(F.lit(1704067200)).alias("ts"), absent.alias("remote_addr"), F.lit("/d").alias("endpoint"),
         F.lit("http").alias("scheme"), F.lit("POST").alias("method"), absent.alias("headers"),
         absent.alias("query_params"), absent.alias("user_agent"), absent.alias("user_id"),
-        F.to_variant_object(F.struct(F.left("text", F.lit(4000)).alias("text"))).alias("body"),
-        custom_object(("lang", F.col("lang")), ("extra", F.left("text", F.lit(1500)))).alias("custom_data"),
+        F.to_variant_object(F.struct(F.col("text"))).alias("body"),
+        custom_object(("lang", F.col("lang")), ("extra", F.col("text"))).alias("custom_data"),
         F.array(F.lit("extra")).alias("extra_keys"))
     return enforce_event_size(events, 1800, measure="utf8", extra_keys="extra_keys")
 
@@ -310,8 +310,13 @@ def payload_size_report(spark, sf_dir):
 
 @query
 def redaction_coverage(spark, sf_dir):
-    rows = privacy.redact_json(_document_bodies(spark, sf_dir), "body")
-    return accounting.redaction_coverage(rows, "body")
+    source = F.col("source")
+    deep = F.struct(F.struct(F.array(F.struct(source.alias("password"))).alias("c")).alias("b"))
+    items = F.array(F.struct(source.alias("token"), F.col("text")), F.struct(source.alias("token"), F.col("lang").alias("text")))
+    bodies = S.table(spark, sf_dir, "documents").select(F.to_json(F.struct(
+        F.col("text"), source.alias("Api_Key"), F.struct(F.col("lang"), source.alias("CVV")).alias("meta"), deep.alias("a"),
+        items.alias("items"))).alias("body"))
+    return accounting.redaction_coverage(privacy.redact_json(bodies, "body"), "body")
 
 
 # --- spans ------------------------------------------------------------------
@@ -678,7 +683,10 @@ def stream_calls(spark, sf_dir):
 @query
 def stream_windowed_tokens(spark, sf_dir):
     out = jobs.windowed_tokens(S.calls(spark, sf_dir, stream=True), "1 day", ("provider",), tokens="tokens_total")
-    return _finished(spark, out).select(us("window_start").alias("window_us"), "provider", "calls", "tokens")
+    path = checkpoint_location(spark, "table")
+    jobs.stream_latest(out, path, trigger=jobs.ONCE).awaitTermination()
+    latest = jobs.latest_rows(spark, path, out.schema, ("window_start", "provider"))
+    return latest.select(us("window_start").alias("window_us"), "provider", "calls", "tokens")
 
 
 @query

@@ -235,7 +235,7 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def declarations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schema-report events: purchases declare tools, resources and prompts."""
+    """Events of all types; purchases are schema reports, which declare tools, resources and prompts."""
     def item(*fields: tuple[str, Column]) -> Column:
         return to_object(variant_map(list(fields)))
 
@@ -249,6 +249,7 @@ def declarations(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("resources", F.to_variant_object(resources)),
         ("prompts", F.to_variant_object(F.coalesce(prompts, F.array().cast("array<variant>")))),
     ]))
-    return table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase").select(
-        "event_id", "ts", F.lit("mcp_schema_report").alias("method"),
+    method = F.when(F.col("event_type") == "purchase", "mcp_schema_report").otherwise("mcp_tool_call")
+    return table(spark, sf_dir, "events").select(
+        "event_id", "ts", method.alias("method"),
         _id("server-", F.col("user_id") % 7).alias("mcp_server"), custom.alias("custom_data"))

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tracewell.constants import REDACTED
 from tracewell.session import checkpoint_location
@@ -46,6 +47,25 @@ def stream_batches(source: DataFrame, handle: Callable[[DataFrame, int], None],
             .trigger(**trigger).start())
 
 
+def stream_latest(source: DataFrame, path: str, *, checkpoint: str | None = None,
+                  trigger: Mapping[str, object] = FLUSH, name: str = "latest") -> StreamingQuery:
+    """Store what each micro-batch changes in an aggregation, open windows included. A
+    batch that is repeated after a failure replaces what it wrote; see ``latest_rows``."""
+    def store(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/_batch={batch}")
+
+    return (source.writeStream.outputMode("update").foreachBatch(store)
+            .option("checkpointLocation", checkpoint or checkpoint_location(source.sparkSession, name))
+            .trigger(**trigger).start())
+
+
+def latest_rows(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """The newest row of every key that ``stream_latest`` stored."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("_batch", LongType())])).parquet(path)
+    newest = F.max_by(F.struct(*schema.names), "_batch").alias("_row")
+    return rows.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(newest).select("_row.*")
+
+
 def bounded_intake(reader, max_files: int | None = None, max_offsets: int | None = None):
     """Limit what one micro-batch takes in. Unlike a bounded queue nothing is lost:
     what does not fit waits at the source."""
