@@ -13,7 +13,7 @@ def con(sf_dir):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, con, sf_dir, name):
     sql = entry.oracle_sql()[name]
     status, n, _, note = compare(spark, con, sf_dir, name, sql)
