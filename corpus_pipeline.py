@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tracewell.llm import fingerprints, mixture, ppm, tiling, toccurrence
 from tracewell.llm.queries import language_model, table
-from tracewell.llm.shared import written
+from tracewell.llm.shared import bounded_batches, written
 
 #: A document's language is accepted when its share of the evidence is at least this,
 LEAST_SCORE = 0.5
@@ -23,6 +23,7 @@ MOST_BITS = 8.0
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: rows without a letter, or that no language explains, go."""
+    bounded_batches(spark)
     found = ppm.predict(docs, language_model(docs), "text", "_language")
     good = (F.col("_language.lang") != ppm.UNDETERMINED) & (F.col("_language.score") >= LEAST_SCORE)
     return found.filter(good & (F.col("_language.bits_per_byte") < MOST_BITS)).select(*docs.columns)
@@ -30,11 +31,13 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts the row with the largest doc_id stays."""
+    bounded_batches(spark)
     return fingerprints.deduplicate(docs, "doc_id", "text")
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near duplicates: five-word shingles, Jaccard 0.8; of linked documents one stays."""
+    bounded_batches(spark)
     return toccurrence.one_of_each(docs, "doc_id", "text", size=5, at_least=80, of=100)
 
 
@@ -46,6 +49,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mix to target weights: documents that the mix takes, with ``size`` (words) and
     ``taken`` (words, repeats counted)."""
+    bounded_batches(spark)
     out, _, _ = mixture.mix(docs, "doc_id", mixture.word_count("text"), F.array("source"))
     return out.filter("_taken > 0").select(*docs.columns, F.col("_size").alias("size"), F.col("_taken").alias("taken"))
 

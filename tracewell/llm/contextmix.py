@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewell.llm.shared import lower_ascii, slices, text_bytes, written
+from tracewell.llm.shared import lower_ascii, release, slices, text_bytes, tidy, written
 from tracewell.llm.words import _powers, number_spans, split_words
 
 CONTEXTS = 3
@@ -49,9 +49,9 @@ RATE = 0.01
 LIMIT = 8.0
 #: Training texts that the code and the first weights are learned on, about.
 SAMPLE_ROWS = 2000
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: Words of one block of the exchange.
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 END = np.uint64(0x9D39247E33776D41)
 
 
@@ -220,6 +220,7 @@ def train(docs: DataFrame, text: str, key: Column, *, sample_rows: int = SAMPLE_
     n = rows.select("key").count()
     sample = rows.filter(F.shiftrightunsigned(F.xxhash64("key"), 11) / float(1 << 53) < sample_rows / max(1, n)).select("text")
 
+    @tidy
     def tally(batches):
         for batch in batches:
             times = sum((np.bincount(with_ends(part.column("text"))[0], minlength=256) for part in slices(batch, "text")), np.zeros(256))
@@ -230,6 +231,7 @@ def train(docs: DataFrame, text: str, key: Column, *, sample_rows: int = SAMPLE_
         times[r["byte"]] = r["n"]
     code, segments = Code(times), (1 << TABLE_BITS) // SEGMENT
 
+    @tidy
     def count(batches):
         counts = np.zeros((CONTEXTS, 2 << TABLE_BITS), np.uint32)
         for batch in batches:
@@ -260,6 +262,7 @@ def train(docs: DataFrame, text: str, key: Column, *, sample_rows: int = SAMPLE_
     mixer = Mixer(tables.reshape(CONTEXTS, 1 << TABLE_BITS), code, start_weights())
     shared = spark.sparkContext.broadcast(mixer)
 
+    @tidy
     def learn(batches):
         """The mean, weighed by bytes, of what texts end with after two rounds."""
         for batch in batches:
@@ -293,6 +296,7 @@ def mixed_scores(docs: DataFrame, key: str, text: str, mixer: Mixer) -> DataFram
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("name", T.LongType()),
                            T.StructField("bits", T.DoubleType()), T.StructField("bytes", T.LongType())])
 
+    @tidy
     def score(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
@@ -342,6 +346,7 @@ def token_scores(docs: DataFrame, key: str, text: str, trains: Column) -> DataFr
             pa.array([times.astype(np.uint32).tobytes()], pa.binary())], schema.names)
         yield whole
 
+    @tidy
     def partition(batches):
         held, n, tokens, block = [], 0, 0, 0
         for batch in batches:
@@ -373,6 +378,7 @@ def token_scores(docs: DataFrame, key: str, text: str, trains: Column) -> DataFr
         ends = np.cumsum([len(w) for w in words])
         back = [total[where[b - len(w):b]].tobytes() for w, b in zip(words, ends)]
         n = len(words)
+        release()
         return pa.table({"block": table.column("block"), "owner": table.column("owner"), "counts": pa.array(back, pa.binary()),
                          "tokens": pa.array([int(total.sum())] + [0] * (n - 1), pa.int64()),
                          "known": pa.array([int((total > 0).sum())] + [0] * (n - 1), pa.int64())})
@@ -391,6 +397,7 @@ def token_scores(docs: DataFrame, key: str, text: str, trains: Column) -> DataFr
         doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
         sums = np.bincount(doc, times * np.log10(c[word] + 1.0), len(first) - 1)
         known = np.bincount(doc, times * (c[word] > 0), len(first) - 1)
+        release()
         return pa.table({"key": pa.array(docs["keys"]), "name": np.frombuffer(docs["names"], np.int64),
                          "n_tokens": np.frombuffer(docs["sizes"], np.int64), "n_known": known.astype(np.int64), "base": sums})
 

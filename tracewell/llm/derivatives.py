@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewell.llm.shared import slices
+from tracewell.llm.shared import slices, tidy
 
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
@@ -90,6 +90,7 @@ def build(responses: DataFrame) -> DataFrame:
     """Two rows (see DERIVATIVE) for each row of ``responses`` (see RESPONSE)."""
     columns = ["source", "record_id", "target_uri", "date", "status", "headers", "payload"]
 
+    @tidy
     def run(batches):
         for batch in batches:
             for part in slices(batch, "payload"):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewell.llm.bitmaps import KeyBits, key_bits, probably_in
-from tracewell.llm.shared import lower_ascii, slices, written
+from tracewell.llm.shared import lower_ascii, release, slices, tidy, written
 
 FINGERPRINT_BITS = 48
 #: Rows of a partition that go into one round of blocks.
@@ -46,8 +46,10 @@ def encode(sorted_numbers: np.ndarray, universe: int) -> tuple[int, bytes, bytes
     quotient, rest = gaps >> width, gaps & ((1 << width) - 1)
     unary = np.zeros(int(quotient.sum()) + n, np.uint8)
     unary[np.cumsum(quotient + 1) - 1] = 1
-    binary = (rest[:, None] >> np.arange(width - 1, -1, -1)) & 1 if width else np.zeros((n, 0), np.int64)
-    return width, np.packbits(unary).tobytes(), np.packbits(binary.astype(np.uint8).ravel()).tobytes()
+    binary = np.empty((n, width), np.uint8)
+    for i in range(width):
+        binary[:, i] = (rest >> (width - 1 - i)) & 1
+    return width, np.packbits(unary).tobytes(), np.packbits(binary.ravel()).tobytes()
 
 
 def decode(n: int, width: int, unary: bytes, binary: bytes) -> np.ndarray:
@@ -127,6 +129,7 @@ def exchange(docs: DataFrame, key: str, text: str) -> DataFrame:
             pa.array(width, pa.int32()), pa.array(quotients, pa.binary()), pa.array(remainders, pa.binary()),
             pa.array(repeated, pa.binary())], schema.names)
 
+    @tidy
     def partition(batches):
         keys, sha, number = [], [], 0
         for batch in batches:
@@ -155,6 +158,7 @@ def exchange(docs: DataFrame, key: str, text: str) -> DataFrame:
             words[:len(p)] = own
             out.append(np.packbits(words, bitorder="little").view(np.int64))
             at += len(p)
+        release()
         return pa.table({"block": pa.array([r["block"] for r in rows]), "owner": pa.array([r["owner"] for r in rows], pa.int32()),
                          "bits": pa.array(out, pa.list_(pa.int64()))})
 
@@ -173,6 +177,7 @@ def exact_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
     bits = key_bits(suspects.select("sha").distinct().select(hashed("sha").alias("hash")), "hash")
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    @tidy
     def bodies(batches):
         bits: KeyBits = shared.value
         for batch in batches:

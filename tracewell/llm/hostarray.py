@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewell.llm.shared import slices, written
+from tracewell.llm.shared import slices, tidy, written
 
 #: Shortest repeated string that can be boilerplate, in tokens; a power of two.
 LEAST = 8
@@ -235,6 +235,7 @@ def main_text(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
     columns = T.StructType([T.StructField("key", pages.schema[key].dataType), T.StructField("url", T.StringType()),
                             T.StructField("host", T.StringType()), T.StructField("text", T.StringType()), T.StructField("marked", T.BooleanType())])
 
+    @tidy
     def parse(batches):
         for batch in batches:
             for part in slices(batch, "html"):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.llm.bitmaps import key_bits, probably_in
-from tracewell.llm.shared import slices, written
+from tracewell.llm.shared import slices, tidy, written
 
 #: (kind, Python pattern, least length of the group that counts, its number, RE2
 #: pattern that any text with a match contains)
@@ -65,6 +65,7 @@ def scan_blobs(blobs: DataFrame, version: str, rules=RULES) -> DataFrame:
     schema = pa.schema([("blob", pa.binary()), ("rules", pa.string()), ("kind", pa.string()), ("rank", pa.int32()),
                         ("start", pa.int64()), ("end", pa.int64())])
 
+    @tidy
     def scan(batches):
         for batch in batches:
             for part in slices(batch, "text"):

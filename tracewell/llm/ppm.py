@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.shared import SLICE_BYTES, slices, text_bytes
+from tracewell.llm.shared import SLICE_BYTES, release, slices, text_bytes, tidy
 
 ORDER = 3
 #: Labelled rows that a language's tree is counted over, about: each row of a language
@@ -180,6 +180,7 @@ def train(labelled: DataFrame, text: str, lang: str, key: Column, sample_rows: i
     rate = F.create_map(*(F.lit(x) for pair in share.items() for x in pair))[F.col("lang")]
     drawn = F.shiftrightunsigned(F.xxhash64("key"), 11) / float(1 << 53) < rate
 
+    @tidy
     def tally(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -237,6 +238,7 @@ def predict(df: DataFrame, model: Model, text: str, out: str = "language") -> Da
         if not parts:
             return pa.array([], kind)
         names, score, rate = (np.concatenate(x) for x in zip(*parts))
+        release()
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(rate)], fields=list(kind))
 
     scored = F.arrow_udf(languages, "lang string, score double, bits_per_byte double")

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.llm import contextmix, derivatives, fingerprints, hostarray, ledger, mixture, ppm, snapshots, tiling, toccurrence
-from tracewell.llm.shared import fold, shared_folder
+from tracewell.llm.shared import bounded_batches, fold, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def language_model(documents: DataFrame) -> ppm.Model:

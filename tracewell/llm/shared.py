@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,17 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 
 
+#: Rows and bytes that Spark hands to Python at once: long texts come in small batches.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Sets BATCHES, which bound the memory of every task that runs Python."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, the folder all executors share.
 
@@ -81,3 +94,24 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 def spread(n: int, target: int) -> int:
     """How many groups hold ``n`` things at about ``target`` each."""
     return max(1, -(-n // target))
+
+
+def release() -> None:
+    """Gives memory that this process has freed back to the machine. Python workers live
+    on after a task, and what they keep is missing beside the next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """For functions of ``mapInArrow``: releases memory when a task ends."""
+    @functools.wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewell.llm.shared import slices, text_bytes
+from tracewell.llm.shared import release, slices, text_bytes, tidy
 from tracewell.llm.words import BASE, mix, number_spans, split_words
 
 SHORTEST = 5
@@ -160,6 +160,7 @@ def contaminated(docs: DataFrame, key: str, text: str, items: DataFrame, item: s
     for block in blocks(items, item, item_text, shortest):
         shared = spark.sparkContext.broadcast(block)
 
+        @tidy
         def scan(batches, shared=shared):
             own: Items = shared.value
             for batch in batches:
@@ -191,6 +192,7 @@ def _free(shared: Broadcast, threshold: float):
             for r, *_ in shared.value.find(part.column("text"), threshold):
                 out[at + r] = False
             at += part.num_rows
+        release()
         return pa.array(out)
 
     return free

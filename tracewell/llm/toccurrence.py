@@ -10,8 +10,9 @@ D = (|a| + |b|) (of - at_least) / (of + at_least) shingles.
    smallest to every other holder of a hash. Connected holders are a cluster: every link
    lies within one. D depends on sizes, so sizes are cut into bands, each with its own
    number of parts, and a set sends the parts of its band and of the next. A part with no
-   shingles says nothing: sets with one send the smallest shingles of their sets instead,
-   together with the empty part's number (sets that link share one of these).
+   shingles says nothing, so there are some parts more than D + 1, and as many whole
+   parts more that linked sets agree on; the few sets with more empty parts than that also
+   send their smallest shingles, of which linked sets share one.
 2. Search. A cluster's distinct sets become inverted lists. For a query of n shingles and
    overlap T, the L longest of its lists are set aside; the others are merged with a heap,
    which leaves sets that occur T - L times; these are looked up in the long lists by
@@ -40,12 +41,12 @@ from pyspark.sql import types as T
 from tracewell.llm.bitmaps import key_bits, probably_in
 from tracewell.llm.components import components
 from tracewell.llm.fingerprints import decode, encode
-from tracewell.llm.shared import slices, written
+from tracewell.llm.shared import release, slices, tidy, written
 from tracewell.llm.words import mix, shingles_of, words_of
 
 SIGNATURE_BITS = 60
 BLOCK_ROWS = 1 << 16
-BLOCK_SIGNATURES = 1 << 21
+BLOCK_SIGNATURES = 1 << 20
 #: Sets of a cluster, and shingles in them, that are searched together at most, about.
 UNIT = 2000
 UNIT_SHINGLES = 1 << 20
@@ -74,8 +75,13 @@ class Rule:
     def band(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, sizes, "right") - 1
 
-    def parts(self, band: np.ndarray) -> np.ndarray:
-        return self.differ(2 * (self.edges[band + 1] - 1)) + 1
+    def parts(self, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parts for the sets of a band and the next smaller one, and how many of them may
+        be empty. One part, where only equal sets link."""
+        least = self.differ(2 * (self.edges[band + 1] - 1)) + 1
+        empty = least * np.exp(-self.edges[band] * self.at_least / self.of / least)
+        spare = np.where(least > 1, np.ceil(1.5 * empty).astype(np.int64) + 1, 0)
+        return least + spare, spare
 
 
 def sets_of(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,8 +110,8 @@ def signatures(shingles: np.ndarray, first: np.ndarray, rule: Rule) -> tuple[np.
     out, of = [], []
     for step in (0, 1):
         level = rule.band(np.maximum(sizes, 1)) + step
-        parts = np.where(sizes > 0, rule.parts(level), 0)
-        parts[parts == 1] = 0  # equal sets only, which need no search
+        parts, spare = rule.parts(level)
+        parts[(parts == 1) | (sizes == 0)] = 0  # equal sets only, which need no search
         base = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(parts, out=base[1:])
         own = parts[owner] > 0
@@ -118,11 +124,11 @@ def signatures(shingles: np.ndarray, first: np.ndarray, rule: Rule) -> tuple[np.
         tag = mix((level[holder].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64))
         out.append(mix(total + tag)[count > 0])
         of.append(holder[count > 0])
-        for i in np.flatnonzero(count == 0):  # an empty part: the smallest shingles, with its number
-            s = holder[i]
+        empty = np.bincount(holder[count == 0], minlength=len(sizes))
+        for s in np.flatnonzero(empty > spare).tolist():
             n = int(sizes[s])
             prefix = shingles[first[s]:first[s] + n - -(-n * rule.at_least // rule.of) + 1]
-            out.append(mix(mix(prefix) + np.uint64(tag[i]) + np.uint64(1)))
+            out.append(mix(mix(prefix) + np.uint64(level[s]) + np.uint64(1)))
             of.append(np.full(len(prefix), s))
     return np.concatenate(out) >> np.uint64(64 - SIGNATURE_BITS), np.concatenate(of)
 
@@ -175,6 +181,7 @@ def candidates(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFr
                            width=[c[0] for c in coded], quotients=[c[1] for c in coded], remainders=[c[2] for c in coded],
                            members=[least[a:b].astype(np.int32).tobytes() for _, a, b in parts])
 
+    @tidy
     def partition(batches):
         rows, n, total, block = [], 0, 0, 0
         for batch in batches:
@@ -203,6 +210,7 @@ def candidates(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFr
         new[1:] = sig[1:] != sig[:-1]
         lead = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
         pairs = np.unique(np.stack([lead, ids], 1)[lead != ids], axis=0)
+        release()
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     far = sent.filter("kind = 'block'").select("owner", "id", "n", "width", "quotients", "remainders", "members") \
@@ -263,12 +271,12 @@ def search(sets: list[np.ndarray], rule: Rule, from_: np.ndarray | None = None)
     return links
 
 
-def link_clusters(members: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b): names of sets linked, from rows (name, cluster, blocks, block, shingles)."""
+def link_clusters(members: DataFrame, total: int, rule: Rule) -> DataFrame:
+    """(a, b): names of sets linked, from rows (name, cluster, blocks, block, shingles) of
+    sets with ``total`` shingles together."""
     units = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "name", "shingles", "cluster", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    total = members.agg(F.coalesce(F.sum(F.length("shingles")), F.lit(0))).first()[0]
-    groups = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (8 * UNIT_SHINGLES))
+    groups = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // UNIT_SHINGLES)
     units = units.withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(groups)))
 
     def run(table: pa.Table) -> pa.Table:
@@ -283,6 +291,7 @@ def link_clusters(members: DataFrame, rule: Rule) -> DataFrame:
                 between = block[rows] if where[a, 1] != where[a, 2] else None
                 found = search([np.frombuffer(raw[x], np.uint64) for x in rows], rule, between)
                 links += [(name[rows[p]], name[rows[q]]) for p, q in found]
+        release()
         return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([x for _, x in links], pa.binary())})
 
     return units.groupBy("task").applyInArrow(run, "a binary, b binary")
@@ -298,12 +307,13 @@ def jaccard_components(docs: DataFrame, key: str, text: str, *, size: int = 5, a
     near = written(near, "near")  # a row for each set that shares a part with another
     sizes = near.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).filter("sets > 1")
     near = near.join(sizes, "cluster").select(
-        "name", "cluster", F.ceil(F.greatest(F.col("sets") / UNIT, F.col("shingles") / UNIT_SHINGLES)).cast("int").alias("blocks"))
+        "name", "cluster", "n", F.ceil(F.greatest(F.col("sets") / UNIT, F.col("shingles") / UNIT_SHINGLES)).cast("int").alias("blocks"))
     near = near.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     head = F.conv(F.hex(F.substring("name", 1, 7)), 16, 10).cast("long")
     bits = key_bits(near.select(F.shiftleft(head, 8).alias("hash")), "hash")
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    @tidy
     def bodies(batches):
         seen: set[bytes] = set()
         for batch in batches:
@@ -322,7 +332,8 @@ def jaccard_components(docs: DataFrame, key: str, text: str, *, size: int = 5, a
                     pa.array([shingles[first[i]:first[i + 1]].tobytes() for i in rows], pa.binary())], ["name", "shingles"])
 
     read = docs.select(F.col(text).alias("text")).mapInArrow(bodies, "name binary, shingles binary")
-    links = link_clusters(written(near.join(read, "name"), "clusters"), rule)
+    total = near.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    links = link_clusters(near.drop("n").join(read, "name"), total, rule)
     linked = components(links).select(F.col("id").alias("name"), "root")
     # Every set's smallest key, then every component's.
     sets = nodes.filter("n > 0").groupBy("name").agg(F.min("key").alias("least"))
