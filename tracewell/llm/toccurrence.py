@@ -17,7 +17,8 @@ D = (|a| + |b|) (of - at_least) / (of + at_least) shingles.
    overlap T, the L longest of its lists are set aside; the others are merged with a heap,
    which leaves sets that occur T - L times; these are looked up in the long lists by
    binary search. Sets that are in one component already need no look-up. A larger
-   cluster than ``UNIT`` sets is cut into blocks and searched block against block.
+   cluster than ``UNIT`` sets is cut into blocks by size, and searched block against block
+   where sizes are near enough to link.
 3. Found links join sets into components.
 
 Texts without words are linked with nothing. Rows with equal sets are one set. A null key
@@ -272,23 +273,35 @@ def search(sets: list[np.ndarray], rule: Rule, from_: np.ndarray | None = None)
 
 
 def link_clusters(members: DataFrame, total: int, rule: Rule) -> DataFrame:
-    """(a, b): names of sets linked, from rows (name, cluster, blocks, block, shingles) of
-    sets with ``total`` shingles together."""
-    units = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "name", "shingles", "cluster", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    """(a, b): names of sets linked, from rows (name, cluster, band, block, cuts, shingles)
+    of sets with ``total`` shingles together."""
+    def other(band):
+        return F.sequence(F.lit(0), F.col("cuts")[band] - 1)
+
+    def beside(band):
+        return F.map_contains_key("cuts", band)
+
+    b, block = F.col("band"), F.col("block")
+    unit = lambda lo, i, hi, j: F.struct(lo.alias("lo"), i.alias("i"), hi.alias("hi"), j.alias("j"))
+    none = F.array().cast("array<struct<lo:int,i:int,hi:int,j:int>>")
+    own = F.transform(other(b), lambda c: unit(b, F.least(block, c), b, F.greatest(block, c)))
+    above = F.when(beside(b + 1), F.transform(other(b + 1), lambda c: unit(b, block, b + 1, c)))
+    below = F.when(beside(b - 1), F.transform(other(b - 1), lambda c: unit(b - 1, c, b, block)))
+    units = members.withColumn("unit", F.explode(F.concat(own, F.coalesce(above, none), F.coalesce(below, none)))).select(
+        "name", "shingles", "cluster", "band", "block", "unit.*")
     groups = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // UNIT_SHINGLES)
-    units = units.withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(groups)))
+    units = units.withColumn("task", F.pmod(F.xxhash64("cluster", "lo", "i", "hi", "j"), F.lit(groups)))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("cluster", "ascending"), ("i", "ascending"), ("j", "ascending"), ("name", "ascending")]).combine_chunks()
-        where = np.stack([table.column(c).to_numpy() for c in ("cluster", "i", "j")], 1)
-        block = table.column("block").to_numpy()
+        table = table.sort_by([(c, "ascending") for c in ("cluster", "lo", "i", "hi", "j", "name")]).combine_chunks()
+        where = np.stack([table.column(c).to_numpy() for c in ("cluster", "lo", "i", "hi", "j")], 1)
+        block = table.column("band").to_numpy().astype(np.int64) << 32 | table.column("block").to_numpy()
         cuts = np.flatnonzero((where[1:] != where[:-1]).any(1)) + 1
         name, raw, links = table.column("name").to_pylist(), table.column("shingles").to_pylist(), []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(name)]):
             rows = [x for x in range(a, b) if x == a or name[x] != name[x - 1]]  # a set read twice
             if len(rows) > 1:
-                between = block[rows] if where[a, 1] != where[a, 2] else None
+                between = block[rows] if (where[a, 1:3] != where[a, 3:5]).any() else None
                 found = search([np.frombuffer(raw[x], np.uint64) for x in rows], rule, between)
                 links += [(name[rows[p]], name[rows[q]]) for p, q in found]
         release()
@@ -305,10 +318,15 @@ def jaccard_components(docs: DataFrame, key: str, text: str, *, size: int = 5, a
     cluster = components(edges)
     near = nodes.join(cluster, "id").groupBy("name").agg(F.min("root").alias("cluster"), F.max("n").alias("n"))
     near = written(near, "near")  # a row for each set that shares a part with another
-    sizes = near.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).filter("sets > 1")
-    near = near.join(sizes, "cluster").select(
-        "name", "cluster", "n", F.ceil(F.greatest(F.col("sets") / UNIT, F.col("shingles") / UNIT_SHINGLES)).cast("int").alias("blocks"))
-    near = near.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+    # Large clusters are cut by size, so that blocks meet only those of sizes that may link.
+    blocks = F.ceil(F.greatest(F.count("*") / UNIT, F.sum("n") / UNIT_SHINGLES)).cast("int")
+    sizes = near.groupBy("cluster").agg(F.count("*").alias("sets"), blocks.alias("blocks")).filter("sets > 1")
+    band = F.floor(F.log("n") / float(np.log(1.0001 * rule.of / rule.at_least))).cast("int")
+    near = written(near.join(sizes, "cluster").select(
+        "name", "cluster", "n", F.when(F.col("blocks") > 1, band).otherwise(0).alias("band")), "clusters")
+    cuts = near.groupBy("cluster", "band").agg(blocks.alias("blocks")).groupBy("cluster").agg(
+        F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("cuts"))  # one entry for each band
+    near = near.join(cuts, "cluster").withColumn("block", F.pmod(F.xxhash64("name"), F.col("cuts")[F.col("band")]).cast("int"))
     head = F.conv(F.hex(F.substring("name", 1, 7)), 16, 10).cast("long")
     bits = key_bits(near.select(F.shiftleft(head, 8).alias("hash")), "hash")
     shared = docs.sparkSession.sparkContext.broadcast(bits)
