@@ -80,3 +80,19 @@ def test_articles_of_the_table(spark, sf_dir):
         inner = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
         text = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", inner))).split())
         assert got[key] == (text, len(text))
+
+
+@pytest.mark.parametrize("shard", [500_000, 100])
+def test_notices_inside_articles(rows, monkeypatch, shard):
+    """What a host repeats inside its marked articles is found by their suffix arrays."""
+    monkeypatch.setattr(ha, "SHARD", shard)
+    random.seed(1)
+    notice = "share this story with all of your friends today"
+    bodies = [" ".join(f"w{random.randrange(10**6)}" for _ in range(20)) for _ in range(40)]
+    pages = [(i, f"http://h{i % 2}.org/{i}", f"<article><p>{b}</p><p>{notice}</p></article>") for i, b in enumerate(bodies)]
+    pages += [(50, "http://h2.org/a", pages[0][2]), (51, "http://h2.org/b", pages[0][2]), (52, "http://h2.org/c", pages[0][2])]
+    pages += [(60 + i, f"http://h3.org/{i}", f"<article><p>{bodies[0]}</p><p>version {i}</p></article>") for i in range(4)]
+    got = {r["key"]: r["text"] for r in ha.main_text(rows(pages, "page_id long, url string, html string"), "page_id", "url", "html").collect()}
+    assert [got[i] for i in range(40)] == bodies
+    assert all(got[i] == f"{bodies[0]} {notice}" for i in (50, 51, 52))  # copies count as one page
+    assert all(got[60 + i] == f"{bodies[0]} version {i}" for i in range(4))  # revisions stay whole

@@ -4,13 +4,19 @@
    adverts, forms, comments, scripts and the like, told by element, role, class or id, are
    dropped. Where a page marks its article (``article``, ``main``, ``role=main``), the
    blocks in it are the text and the others are dropped.
-2. Host. Pages that mark no article leave their blocks as token streams. The streams of a
-   host are dealt by hash into shards of bounded size. In each shard they are put end to
-   end and their suffixes sorted (prefix doubling, up to ``LEAST`` tokens); neighbours with
-   a common beginning of ``LEAST`` tokens are one repeated string, and the distinct streams
-   it occurs in are counted. Counts are added over the shards of a host. Strings on
-   ``PAGES`` pages and at least ``SHARE`` of the host's are boilerplate: the tokens that
-   they cover are removed, unique runs stay, in page order.
+2. Host. Every page leaves its blocks as a token stream: streams of marked articles and
+   streams of other pages are two kinds, each with arrays of its own, so that menus of other
+   pages do not rule out an article's text. The streams of a host are put end to end and
+   their suffixes sorted (prefix doubling, up to ``LEAST`` tokens); neighbours with a common
+   beginning of ``LEAST`` tokens are one repeated string, and the distinct streams it occurs
+   in are counted. Strings in ``PAGES`` streams and at least ``SHARE`` of the host's of their
+   kind are boilerplate: the tokens that they cover are removed, unique runs stay, in page
+   order. A marked article that would lose more than ``REVISION`` of its tokens is another
+   revision of what the host repeats and stays whole.
+
+   A host of more than ``SHARD`` tokens is dealt by hash into shards. What is boilerplate
+   of the whole host is so in one shard at least, so shards name candidates first and
+   count only those for the others.
 
 Pages with the same stream count as one page, so copies of a page do not erase it.
 Character references are decoded after the cut; white space becomes one space; blocks are
@@ -36,8 +42,11 @@ from tracewell.llm.shared import slices, tidy, written
 LEAST = 8
 PAGES = 3
 SHARE = 0.1
-#: Tokens of a shard, about.
+#: An article of which repeated strings cover more than this is not taken apart.
+REVISION = 0.5
+#: Tokens of a shard, about, and characters of a page for each.
 SHARD = 500_000
+TOKEN_CHARS = 6
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math canvas object select audio video".split())
@@ -200,25 +209,58 @@ def shard_streams(texts: list[str]) -> tuple[list[list[str]], np.ndarray, np.nda
     return words, numbered(flat), np.repeat(np.arange(len(words)), [len(x) for x in words])
 
 
-def repeated(table: pa.Table) -> pa.Table:
-    """One shard: (host, string, streams) of its strings of LEAST tokens; the row without
-    a string has the number of distinct streams."""
-    host, texts = table.column("host")[0].as_py(), sorted(set(table.column("text").to_pylist()))
+def counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    """(strings of LEAST tokens, streams each is in, number of streams) over distinct texts."""
+    texts = sorted({t for t in texts if t})
     _, tokens, stream = shard_streams(texts)
-    name, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(tokens) >= LEAST:
-        order, group = ranks(tokens, stream)
-        keep = whole_suffixes(stream)[order]
-        order, group = order[keep], group[keep]
-        pairs = np.unique(np.stack([group, stream[order]], 1), axis=0)[:, 0]
-        first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
-        times = np.diff(np.append(np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])), len(pairs))) if len(pairs) else times
-        name = string_hashes(tokens)[order[first]]
-    return pa.table({"host": pa.array([host] * (len(name) + 1), pa.string()), "string": pa.array([None, *name.tolist()], pa.int64()),
-                     "streams": pa.array([len(texts), *times.tolist()], pa.int64())})
-
-
-def strip(text: str, boilerplate: np.ndarray) -> str:
+    if len(tokens) < LEAST:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), len(texts)
+    order, group = ranks(tokens, stream)
+    keep = whole_suffixes(stream)[order]
+    order, group = order[keep], group[keep]
+    if not len(group):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), len(texts)
+    pairs = np.unique(np.stack([group, stream[order]], 1), axis=0)[:, 0]
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    times = np.diff(np.append(np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])), len(pairs)))
+    return string_hashes(tokens)[order[first]], times, len(texts)
+
+
+def cleaned(own: pa.Table, boilerplate: np.ndarray) -> pa.Table:
+    """Rows of one host and kind without its boilerplate."""
+    marked = own.num_rows and own.column("marked")[0].as_py()
+    return pa.table({"key": own.column("key"), "url": own.column("url"),
+                     "text": pa.array([strip(t, boilerplate, marked) for t in own.column("text").to_pylist()], pa.string())})
+
+
+def whole_host(own: pa.Table) -> pa.Table:
+    """Host of one shard: counted and cleaned at once."""
+    name, times, total = counted(own.column("text").to_pylist())
+    return cleaned(own, np.sort(name[(times >= PAGES) & (times >= total * SHARE)]))
+
+
+def candidates(table: pa.Table) -> pa.Table:
+    """One shard of a large host: its strings in at least SHARE of its streams; the row
+    without a string has the number of distinct streams."""
+    name, times, total = counted(table.column("text").to_pylist())
+    name = name[times >= total * SHARE]
+    n = len(name) + 1
+    return pa.table({"host": pa.array([table.column("host")[0].as_py()] * n, pa.string()), "marked": pa.array([table.column("marked")[0].as_py()] * n),
+                     "string": pa.array([None, *name.tolist()], pa.int64()), "streams": pa.array([total] + [0] * (n - 1), pa.int64())})
+
+
+def recounted(own: pa.Table, strings: pa.Table) -> pa.Table:
+    """One shard of a large host: in how many of its streams the host's candidates are."""
+    found = [np.unique(string_hashes(numbered(t.split(" ")))) for t in sorted(set(own.column("text").to_pylist())) if t]
+    asked = np.unique(strings.column("string").to_numpy())
+    name, times = np.unique(np.concatenate([np.zeros(0, np.int64)] + [f[np.isin(f, asked)] for f in found]), return_counts=True)
+    head = own if own.num_rows else strings
+    return pa.table({"host": pa.array([head.column("host")[0].as_py()] * len(name), pa.string()),
+                     "marked": pa.array([head.column("marked")[0].as_py()] * len(name), pa.bool_()),
+                     "string": pa.array(name, pa.int64()), "streams": pa.array(times, pa.int64())})
+
+
+def strip(text: str, boilerplate: np.ndarray, marked: bool = False) -> str:
     """A stream without the tokens that boilerplate strings cover."""
     words = text.split(" ") if text else []
     if len(words) < LEAST or not len(boilerplate):
@@ -227,7 +269,10 @@ def strip(text: str, boilerplate: np.ndarray) -> str:
     gone = np.zeros(len(words) + 1, np.int64)
     np.add.at(gone, at, 1)
     np.add.at(gone, at + LEAST, -1)
-    return " ".join(w for w, g in zip(words, np.cumsum(gone)[:-1]) if not g)
+    gone = np.cumsum(gone)[:-1] > 0
+    if marked and gone.sum() > REVISION * len(words):
+        return text
+    return " ".join(w for w, g in zip(words, gone) if not g)
 
 
 def main_text(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
@@ -235,37 +280,63 @@ def main_text(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
     columns = T.StructType([T.StructField("key", pages.schema[key].dataType), T.StructField("url", T.StringType()),
                             T.StructField("host", T.StringType()), T.StructField("text", T.StringType()), T.StructField("marked", T.BooleanType())])
 
-    @tidy
-    def parse(batches):
-        for batch in batches:
-            for part in slices(batch, "html"):
-                found = [blocks(h or "") for h in part.column("html").to_pylist()]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("key"), part.column("url"), part.column("host"), pa.array([" ".join(b) for b, _ in found], pa.string()),
-                    pa.array([m or not b for b, m in found], pa.bool_())], columns.names)
-
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.col(page).alias("html"))
-    parsed = written(rows.mapInArrow(parse, columns), "parsed", "marked")
-    done, open_ = parsed.filter("marked"), parsed.filter("not marked").drop("marked")
-    # Shards: as many for a host as its tokens need.
-    tokens = open_.groupBy("host").agg(F.sum(F.size(F.split("text", " "))).alias("tokens"))
-    shards = tokens.select(F.col("host").alias("_host"), F.ceil(F.col("tokens") / SHARD).cast("int").alias("shards"))
-    dealt = open_.join(shards, F.col("host") == F.col("_host")).withColumn("shard", F.pmod(F.xxhash64("text"), F.col("shards")).cast("int"))
-    counted = dealt.select("host", "shard", "text").groupBy("host", "shard").applyInArrow(repeated, "host string, string long, streams long") \
-        .groupBy("host", "string").agg(F.sum("streams").alias("streams"))
-    counted = written(counted, "strings")
-    total = counted.filter("string is null").select(F.col("host").alias("_host"), F.col("streams").alias("total"))
-    often = counted.filter(f"string is not null and streams >= {PAGES}").join(total, F.col("host") == F.col("_host")) \
-        .filter(F.col("streams") >= F.col("total") * SHARE).select("host", "string")
+    def parse(once: bool):
+        @tidy
+        def run(batches):
+            seen = set()
+            for batch in batches:
+                for part in slices(batch, "html"):
+                    found = [blocks(h or "") for h in part.column("html").to_pylist()]
+                    out = pa.RecordBatch.from_arrays([
+                        part.column("key"), part.column("url"), part.column("host"), pa.array([" ".join(b) for b, _ in found], pa.string()),
+                        pa.array([m for _, m in found], pa.bool_())], columns.names)
+                    if once:  # copies are counted once, and leave a task once
+                        new = []
+                        for host, text, m in zip(*(out.column(c).to_pylist() for c in ("host", "text", "marked"))):
+                            name = hashlib.blake2b(f"{host} {m} {text}".encode(), digest_size=16).digest()
+                            new.append(bool(text) and name not in seen)
+                            seen.add(name)
+                        out = out.filter(pa.array(new, pa.bool_()))
+                    yield out
+
+        return run
+
+    every = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.col(page).alias("html"))
+    empty = F.coalesce(F.col("html"), F.lit("")) == ""
+    out = T.StructType([columns["key"], columns["url"], columns["text"]])
+    rows = every.filter(~empty)
+    # Large hosts, one row for SHARD tokens of pages at most.
+    shards = F.ceil(F.sum(F.length("html")) / float(SHARD * TOKEN_CHARS)).cast("int")
+    large = written(rows.groupBy("host").agg(shards.alias("shards")).filter("shards > 1"), "large").withColumnRenamed("host", "_host")
+    large = F.broadcast(large)
+    on = F.col("host") == F.col("_host")
+    small = rows.join(large, on, "left_anti").mapInArrow(parse(False), columns)
+    done = small.groupBy("host", "marked").applyInArrow(whole_host, out)
+
+    own = rows.join(large, on, "left_semi")
+
+    def dealt(by: Column, once: bool) -> DataFrame:
+        return own.mapInArrow(parse(once), columns).join(large, on).withColumn("shard", F.pmod(by, F.col("shards")).cast("int")).drop("_host", "shards")
+
+    kind, cells = ["host", "marked"], ["host", "marked", "shard"]
+    strings = "host string, marked boolean, string long, streams long"
+    named = written(dealt(F.xxhash64("text"), True).groupBy(*cells).applyInArrow(candidates, strings), "candidates")
+    total = named.filter("string is null").groupBy(*kind).agg(F.sum("streams").alias("total")).select(
+        F.col("host").alias("_own"), F.col("marked").alias("_marked"), "total")
+    asked = named.filter("string is not null").select(*kind, "string").distinct()
+
+    def to_shards(df: DataFrame) -> DataFrame:
+        return df.join(large, on).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(*cells, "string")
+
+    again = dealt(F.xxhash64("text"), True).groupBy(*cells).cogroup(to_shards(asked).groupBy(*cells)).applyInArrow(recounted, strings)
+    often = again.groupBy(*kind, "string").agg(F.sum("streams").alias("streams")).filter(f"streams >= {PAGES}").join(
+        total, (F.col("host") == F.col("_own")) & (F.col("marked") == F.col("_marked"))).filter(F.col("streams") >= F.col("total") * SHARE)
     # Each shard of a host gets the host's strings: at most 1 / SHARE of a page's tokens.
-    often = often.join(shards, F.col("host") == F.col("_host")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    often = to_shards(written(often.select(*kind, "string"), "strings"))
 
     def clean(own: pa.Table, strings: pa.Table) -> pa.Table:
-        boilerplate = np.sort(strings.column("string").to_numpy())
-        return pa.table({"key": own.column("key"), "url": own.column("url"),
-                         "text": pa.array([strip(t, boilerplate) for t in own.column("text").to_pylist()], pa.string())})
+        return cleaned(own, np.sort(strings.column("string").to_numpy()))
 
-    out = T.StructType([columns["key"], columns["url"], columns["text"]])
-    cleaned = dealt.select("key", "url", "text", "host", "shard").groupBy("host", "shard").cogroup(
-        often.select("host", "shard", "string").groupBy("host", "shard")).applyInArrow(clean, out)
-    return done.select("key", "url", "text").unionByName(cleaned)
+    # Copies of a page are dealt over the shards here.
+    rest = dealt(F.xxhash64("key", "url", "text"), False).groupBy(*cells).cogroup(often.groupBy(*cells)).applyInArrow(clean, out)
+    return every.filter(empty).select("key", "url", F.lit("").alias("text")).unionByName(done).unionByName(rest)
