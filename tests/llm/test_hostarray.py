@@ -67,6 +67,20 @@ def test_boilerplate_of_a_host(rows, monkeypatch, shard):
     assert unique[0]["text"] == bars[0]  # an article keeps what the host repeats
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<main class='with-sidebar'><p>one</p></main>", "one"), ("<article class='post no-comments'>two</article>after", "two"),
+    ("<div class='page has-sidebar'><article>three</article></div>", "three"), ("<article id='social-policy'>four</article>", "four"),
+    ("<article><div class='entry-header'><h1>T</h1></div><p>x</p></article>", "T x"), ("<article><h1 class='post-header'>T</h1>x</article>", "T x"),
+    ("<article><div class='header'><h2 class='banner'>T</h2></div>x</article>", "T x"), ("<div role='main' class='share'>five</div>", "five"),
+    ("<div class='overlay'><div>a</div><article class='search'>six</article></div>", "six"), ("<div class='overlay'><p>no</p></div>seven", "seven"),
+    ("<div class='sidebar'><article>no</article></div><article>eight</article>", "eight"),
+    ("<article>nine<section class='post-comments'><article>no</article></section><article class='comment'>no</article></article>", "nine"),
+    ("<div class='social-share'>no</div><div class='siteFooter'>no</div><div class='share-price'>ten</div>", "ten"),
+])
+def test_class_words(page, text):
+    assert " ".join(ha.blocks(page)[0]) == text
+
+
 def test_no_rows(rows):
     assert ha.main_text(rows([], "page_id long, url string, html string"), "page_id", "url", "html").count() == 0
 

@@ -2,7 +2,10 @@
 
 1. Markup. A page is cut into blocks. Blocks in menus, headers, footers, sidebars, notices,
    adverts, forms, comments, scripts and the like, told by element, role, class or id, are
-   dropped. Where a page marks its article (``article``, ``main``, ``role=main``), the
+   dropped. A class or id counts as a whole: ``ad-box`` is an advert, ``has-sidebar`` and
+   ``post-header`` rule out nothing. It does not rule out an article, what is around one,
+   or the headings and header in one; comments and sidebars may hold articles of their own,
+   which are not the page's. Where a page marks its article (``article``, ``main``, ``role=main``), the
    blocks in it are the text and the others are dropped.
 2. Host. Every page leaves its blocks as a token stream: streams of marked articles and
    streams of other pages are two kinds, each with arrays of its own, so that menus of other
@@ -60,6 +63,15 @@ CHROME_WORDS = frozenset("""ad ads advert adverts advertisement advertising adse
 consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup sidebar menu nav navbar navigation
 breadcrumb breadcrumbs pagination pager footer header masthead topbar toolbar comment comments disqus respond replies reply share sharing
 social related recommended widget widgets login search skip""".split())
+#: Of these, the ones whose elements may hold articles that are not the page's.
+ASIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion sidebar comment comments
+disqus respond replies reply related recommended widget widgets""".split())
+HEADER_WORDS = frozenset("header masthead banner".split())
+#: Words that may stand beside these in one class or id: everywhere, and but for headers.
+BESIDE = frozenset("""area bar block bottom box button buttons container form global icon icons inner item items left link links list main outer
+page panel posts primary right secondary site slot thread toggle top unit wrap wrapper""".split())
+BESIDE_OTHERS = frozenset("article blog entry post reader story user".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 MAIN_WORDS = frozenset("articlebody".split())
 
 _markup = re.compile(r"""<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>|<[!?][^>]*>""", re.S)
@@ -68,29 +80,70 @@ _words = re.compile(r"[a-z]+")
 _camel = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
-def role_of(name: str, raw: str, inside: bool) -> str | None:
-    """'chrome', 'main' or None for an opening tag; ``inside`` an article, its own header is kept."""
-    if name in ("article", "main"):
-        kind = "main"
-    elif name in CHROME and not (name == "header" and inside):
+def named(attributes: dict[str, str]) -> set[str]:
+    """The words that say, as a whole class or id, that an element is chrome."""
+    out = set()
+    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = set(_words.findall(_camel.sub(" ", token).lower()))
+        own = words & CHROME_WORDS
+        if own and words - own <= (BESIDE if own & HEADER_WORDS else BESIDE | BESIDE_OTHERS):
+            out |= own
+    return out
+
+
+def attributes_of(raw: str) -> dict[str, str]:
+    return {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _attribute.finditer(raw)}
+
+
+def marks(name: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is marked as the page's article."""
+    return name in ("article", "main") or attributes.get("role", "").lower() == "main" or attributes.get("itemprop", "").lower() in MAIN_WORDS
+
+
+def role_of(name: str, raw: str, inside: bool, nested: bool = False) -> str | None:
+    """'chrome', 'main', 'around' (chrome unless an article is in it) or None for an opening
+    tag. ``inside`` an article, its own header is kept; ``nested`` in one, an article whose
+    class says so is a comment."""
+    if name in CHROME and not (name == "header" and inside):
         return "chrome"
-    else:
-        kind = None
     if not raw.strip():
-        return kind
-    attributes = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _attribute.finditer(raw)}
+        return "main" if name in ("article", "main") else None
+    attributes = attributes_of(raw)
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
         return "chrome"
-    role = attributes.get("role", "").lower()
-    if role in CHROME_ROLES:
+    if attributes.get("role", "").lower() in CHROME_ROLES:
         return "chrome"
-    if name not in ("html", "body"):
-        named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        if named.strip() and not CHROME_WORDS.isdisjoint(_words.findall(_camel.sub(" ", named).lower())):
-            return None if name == "header" and inside else "chrome"
-    if role == "main" or attributes.get("itemprop", "").lower() in MAIN_WORDS:
-        return "main"
-    return kind
+    if marks(name, attributes):
+        return "chrome" if nested and not named(attributes).isdisjoint(("comment", "reply")) else "main"
+    if name in ("html", "body") or inside and name in HEADINGS:
+        return None
+    words = named(attributes)
+    if inside:
+        return "chrome" if words - HEADER_WORDS else None
+    return None if not words else "chrome" if words & ASIDE_WORDS else "around"
+
+
+def holds_article(page: str, at: int, name: str) -> bool:
+    """Whether the element ``name``, open before ``at``, has a marked article in it."""
+    depth = 1
+    while depth:
+        m = _markup.search(page, at)
+        if not m:
+            break
+        at = m.end()
+        if m[2] is None:
+            continue
+        found = m[2].lower()
+        if m[1]:
+            depth -= found == name
+        elif found in RAW:
+            end = re.compile(rf"</{re.escape(found)}\s*>", re.I).search(page, at)
+            at = end.end() if end else at
+        elif marks(found, attributes_of(m[3])):
+            return True
+        else:
+            depth += found == name
+    return False
 
 
 def blocks(page: str) -> tuple[list[str], bool]:
@@ -141,7 +194,9 @@ def blocks(page: str) -> tuple[list[str], bool]:
         if name in VOID or m[0].endswith("/>") and name not in BLOCKS:
             continue
         if name in BLOCKS or name in CHROME or m[3].strip():
-            kind = role_of(name, m[3], main > 0)
+            kind = role_of(name, m[3], main > 0, ("article", "main") in stack)
+            if kind == "around":
+                kind = "chrome" if chrome or not holds_article(page, at, name) else None
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and kind is None:
                 continue  # may stay open; nothing depends on its end
             if kind == "chrome" and name == "body":
