@@ -81,6 +81,17 @@ def test_class_words(page, text):
     assert " ".join(ha.blocks(page)[0]) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article>a <svg class='icon'/>b<p>c</p><svg><text>no</text></svg>d</article>", "a b c d"), ("<article>a <math/>b</article>", "a b"),
+    ("<article>a<object data=x><p>b</p>c", "a b c"), ("<article>a<video src=x><p>b</p></article>", "a b"), ("<article>a<select><p>b", "a b"),
+    ("<article>a <svg>no<svg>no</svg>no</svg>b</article>", "a b"), ("<article>a<object>no<object>no</object>no</object>b</article>", "a b"),
+    ("<article>a <svg>no<svg/>no</svg>b <svg><!-- <svg> -->no</svg>c</article>", "a b c"), ("<article>a<iframe src=x/><p>b</p><iframe>no</iframe>c", "a b c"),
+    ("<article>a<script>'<svg>'</script>b <svg>no</svg>c<style>no", "a b c"),
+])
+def test_elements_without_text(page, text):
+    assert " ".join(ha.blocks(page)[0]) == text
+
+
 def test_no_rows(rows):
     assert ha.main_text(rows([], "page_id long, url string, html string"), "page_id", "url", "html").count() == 0
 

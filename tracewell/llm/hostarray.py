@@ -52,7 +52,10 @@ SHARD = 500_000
 TOKEN_CHARS = 6
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math canvas object select audio video".split())
+#: Elements whose content is no markup, up to their end or that of the page.
+RAW = frozenset("script style textarea title xmp noembed noframes".split())
+#: Elements left out with what is in them; where the end is missing, only the tag is.
+SKIPPED = frozenset("noscript template iframe svg math canvas object select audio video".split())
 BLOCKS = frozenset("""address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table
 tbody td tfoot th thead title tr ul""".split())
@@ -123,7 +126,28 @@ def role_of(name: str, raw: str, inside: bool, nested: bool = False) -> str | No
     return None if not words else "chrome" if words & ASIDE_WORDS else "around"
 
 
-def holds_article(page: str, at: int, name: str) -> bool:
+def ends(page: str, name: str) -> dict[int, int]:
+    """Where elements ``name`` end, by the end of their opening tag. Those that are not
+    closed, or close themselves, are missing."""
+    out, open_ = {}, []
+    tags = re.compile(rf"""<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|<(/?){name}(?=[\s/>])(?:[^<>"']|"[^"]*"|'[^']*')*>""", re.S | re.I)
+    for m in tags.finditer(page):
+        if m[1] is None or not m[1] and name in ("svg", "math") and m[0].endswith("/>"):
+            continue
+        if not m[1]:
+            open_.append(m.end())
+        elif open_:
+            out[open_.pop()] = m.end()
+    return out
+
+
+def end_of(page: str, name: str, at: int, closed: dict[str, dict[int, int]]) -> int:
+    if name not in closed:
+        closed[name] = ends(page, name)
+    return closed[name].get(at, at)
+
+
+def holds_article(page: str, at: int, name: str, closed: dict[str, dict[int, int]]) -> bool:
     """Whether the element ``name``, open before ``at``, has a marked article in it."""
     depth = 1
     while depth:
@@ -138,7 +162,9 @@ def holds_article(page: str, at: int, name: str) -> bool:
             depth -= found == name
         elif found in RAW:
             end = re.compile(rf"</{re.escape(found)}\s*>", re.I).search(page, at)
-            at = end.end() if end else at
+            at = end.end() if end else len(page)
+        elif found in SKIPPED:
+            at = end_of(page, found, at, closed)
         elif marks(found, attributes_of(m[3])):
             return True
         else:
@@ -153,7 +179,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
     stack: list[tuple[str, str | None]] = []
     chrome = main = 0
     marked = False
-    at, n = 0, len(page)
+    at, n, closed = 0, len(page), {}
 
     def close_block():
         if current:
@@ -176,7 +202,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
                 current.append(entities.escape(m[0][9:-3]))
             continue
         name = m[2].lower()
-        if name in BLOCKS or name in RAW and name not in ("svg", "math", "canvas", "select"):
+        if name in BLOCKS or name in RAW or name in SKIPPED and name not in ("svg", "math", "canvas", "select"):
             close_block()
         if m[1]:
             if any(name == x for x, _ in stack):
@@ -191,12 +217,15 @@ def blocks(page: str) -> tuple[list[str], bool]:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
+        if name in SKIPPED:
+            at = end_of(page, name, at, closed)
+            continue
         if name in VOID or m[0].endswith("/>") and name not in BLOCKS:
             continue
         if name in BLOCKS or name in CHROME or m[3].strip():
             kind = role_of(name, m[3], main > 0, ("article", "main") in stack)
             if kind == "around":
-                kind = "chrome" if chrome or not holds_article(page, at, name) else None
+                kind = "chrome" if chrome or not holds_article(page, at, name, closed) else None
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and kind is None:
                 continue  # may stay open; nothing depends on its end
             if kind == "chrome" and name == "body":
