@@ -104,3 +104,23 @@ def test_held_out_texts_are_predicted(spark):
     assert held.count() > 50 and mean < 2.9  # bytes alone have more than 4 bits
     assert got.agg(F.countDistinct("train_tokens")).first()[0] == 1
     got.unpersist()
+
+
+def test_code_and_weights_are_of_all_training_texts(rows):
+    random.seed(2)
+    texts = [random.choice("abcdefghij") * random.randint(1, 9) for _ in range(6000)]
+    mixer = cm.train(rows([(t,) for t in texts], "text string").coalesce(1), "text")
+    code = cm.Code(np.bincount(cm.with_ends(pa.array(texts))[0], minlength=256))
+    assert (mixer.code.length == code.length).all() and (mixer.code.node == code.node).all()
+    # In two partitions; the weights are the mean by bytes.
+    weights, share = {}, np.array([len(t) + 1.0 for t in texts])
+    halves = [slice(0, 3000), slice(3000, 6000)]
+    for i, half in enumerate(halves):
+        weights[i] = cm.start_weights()
+        for _ in range(2):
+            _, ends = cm.bits_of(pa.array(texts[half]), mixer.tables, code, weights[i], 2 * cm.RATE)
+            weights[i] = np.average(ends, axis=0, weights=share[half]).astype(np.float32)
+    both = [rows([(t,) for t in texts[h]], "text string").coalesce(1) for h in halves]
+    got = cm.train(both[0].union(both[1]), "text").weights
+    want = np.average([weights[0], weights[1]], axis=0, weights=[share[h].sum() for h in halves])
+    assert got == pytest.approx(want, abs=0.02)

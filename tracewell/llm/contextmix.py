@@ -1,7 +1,7 @@
 """Texts scored by online logistic mixing of hashed-context bit predictors.
 
 A text (A-Z lowered, null as empty) is its UTF-8 bytes and one end byte. Each byte is a
-few bits: those of a Huffman code of all 256 bytes, built on a bounded sample.
+few bits: those of a Huffman code of all 256 bytes, built on all training texts.
 
 * Predictors. For each of three contexts (the last 2 and 3 bytes, and the word so far) a
   table of ``TABLE_BITS`` hashed slots counts how often the next bit was 0 and 1 over
@@ -10,8 +10,8 @@ few bits: those of a Huffman code of all 256 bytes, built on a bounded sample.
   logistic is the probability. The weights are picked by a gate: which bit of the byte's
   code it is (the eighth and later ones together), and whether the longest byte context is
   known.
-* Online refinement. Every text starts with weights learned beforehand on a bounded
-  sample and then follows its own errors: after each stretch of bytes (64, 128 ... 4096)
+* Online refinement. Every text starts with weights learned beforehand on all training
+  texts (each slice of a partition from the same start, their ends averaged by bytes) and then follows its own errors: after each stretch of bytes (64, 128 ... 4096)
   its weights move along the gradient of that stretch's code length. What is learned
   within a text ends with it, so a score does not depend on other texts' order.
 
@@ -47,8 +47,6 @@ INPUTS = CONTEXTS + 1
 STRETCHES = (64, 128, 256, 512, 1024, 2048, 4096)
 RATE = 0.01
 LIMIT = 8.0
-#: Training texts that the code and the first weights are learned on, about.
-SAMPLE_ROWS = 2000
 SLICE = 1 << 20
 #: Words of one block of the exchange.
 BLOCK_TOKENS = 1 << 20
@@ -213,21 +211,21 @@ class Mixer:
         self.tables, self.code, self.weights = tables, code, weights
 
 
-def train(docs: DataFrame, text: str, key: Column, *, sample_rows: int = SAMPLE_ROWS) -> Mixer:
-    """Counts over all rows of ``docs``; code and first weights from about ``sample_rows``."""
+def train(docs: DataFrame, text: str) -> Mixer:
+    """Code, counts and first weights from all rows of ``docs``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(text).alias("text"), key.alias("key"))
-    n = rows.select("key").count()
-    sample = rows.filter(F.shiftrightunsigned(F.xxhash64("key"), 11) / float(1 << 53) < sample_rows / max(1, n)).select("text")
+    rows = docs.select(F.col(text).alias("text"))
 
     @tidy
     def tally(batches):
+        times = np.zeros(256)
         for batch in batches:
-            times = sum((np.bincount(with_ends(part.column("text"))[0], minlength=256) for part in slices(batch, "text")), np.zeros(256))
-            yield pa.RecordBatch.from_arrays([pa.array(range(256)), pa.array(times)], ["byte", "n"])
+            for part in slices(batch, "text"):
+                times += np.bincount(with_ends(part.column("text"))[0], minlength=256)
+        yield pa.RecordBatch.from_arrays([pa.array(range(256)), pa.array(times)], ["byte", "n"])
 
     times = np.zeros(256)
-    for r in sample.mapInArrow(tally, "byte long, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect():
+    for r in rows.mapInArrow(tally, "byte long, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect():
         times[r["byte"]] = r["n"]
     code, segments = Code(times), (1 << TABLE_BITS) // SEGMENT
 
@@ -254,7 +252,7 @@ def train(docs: DataFrame, text: str, key: Column, *, sample_rows: int = SAMPLE_
                          "odds": pa.array([log_odds(total[:, 0], total[:, 1]).tobytes()], pa.binary())})
 
     # A row for each segment of the tables, whatever the corpus.
-    added = rows.select("text").mapInArrow(count, "segment int, at binary, n binary").groupBy("segment").applyInArrow(
+    added = rows.mapInArrow(count, "segment int, at binary, n binary").groupBy("segment").applyInArrow(
         add, "segment int, odds binary").collect()
     tables = np.zeros((CONTEXTS * segments, SEGMENT), np.float32)
     for r in added:
@@ -264,7 +262,8 @@ def train(docs: DataFrame, text: str, key: Column, *, sample_rows: int = SAMPLE_
 
     @tidy
     def learn(batches):
-        """The mean, weighed by bytes, of what texts end with after two rounds."""
+        """The sum, weighed by bytes, of what a partition's texts end with after two rounds."""
+        n, sums = 0.0, np.zeros((GATES, INPUTS))
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 own, weights = part.column("text"), shared.value.weights
@@ -273,12 +272,14 @@ def train(docs: DataFrame, text: str, key: Column, *, sample_rows: int = SAMPLE_
                 for _ in range(2):
                     _, ends = bits_of(own, shared.value.tables, shared.value.code, weights, 2 * RATE)
                     weights = np.average(ends, axis=0, weights=share).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array([share.sum()]), pa.array([weights.astype(np.float32).tobytes()], pa.binary())], ["n", "w"])
+                n += share.sum()
+                sums += share.sum() * weights
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([sums.tobytes()], pa.binary())], ["n", "w"])
 
-    learned = sample.mapInArrow(learn, "n double, w binary").collect()  # a few hundred numbers for each slice of the sample
+    learned = sorted(rows.mapInArrow(learn, "n double, w binary").collect())  # some 500 bytes for each partition
     if learned:
-        mixer.weights = np.average([np.frombuffer(r["w"], np.float32).reshape(GATES, INPUTS) for r in sorted(learned)], axis=0,
-                                   weights=[r["n"] for r in sorted(learned)]).astype(np.float32)
+        mixer.weights = (sum(np.frombuffer(r["w"]).reshape(GATES, INPUTS) for r in learned) / sum(r["n"] for r in learned)).astype(np.float32)
     return mixer
 
 
@@ -410,7 +411,7 @@ def token_scores(docs: DataFrame, key: str, text: str, trains: Column) -> DataFr
 def scores(docs: DataFrame, key: str, text: str, trains: Column) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row."""
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), trains.alias("trains"))
-    mixer = train(own.filter("trains"), "text", F.col("key"))
+    mixer = train(own.filter("trains"), "text")
     mixed = mixed_scores(own, "key", "text", mixer)
     base = token_scores(own, "key", "text", F.col("trains"))
     # A row's two halves meet by key and text; equal rows have equal halves.
