@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tests.fixtures import spans as S
+from tracewell.operators.accounting import outcome_accounting
 from tracewell.operators.filters import classify_spans
 from tracewell.operators.messages import rebuild_messages
 from tracewell.operators.spans import SpanOptions, drop_unroutable_mcp, map_spans
@@ -15,6 +16,7 @@ from tracewell.sources.otlp import (
     quarantine_undecodable,
     read_otlp_traces,
     spans_of,
+    traces_and_refused,
 )
 
 
@@ -267,6 +269,17 @@ def test_read_from_files(spark, tmp_path):
     assert read_otlp_traces(spark, str(tmp_path)).count() == 3
 
 
+def test_refused_exports_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(S.export(S.CHAT) + "\n{bad\n" + "x" * 5000 + "\n{worse\n")
+    found, refused = traces_and_refused(spark, str(tmp_path / "in"), max_bytes=4000)
+    row = outcome_accounting(span_events(found), refused).first()
+    assert (row["llm"], row["received"], row["exports_undecodable"], row["exports_too_large"]) == (1, 1, 2, 1)
+    assert read_otlp_traces(spark, str(tmp_path / "in"), refused_path=str(tmp_path / "refused")).count() == 1
+    kept = {r["value"]: r["reason"] for r in spark.read.parquet(str(tmp_path / "refused")).collect()}
+    assert kept == {"{bad": "undecodable", "x" * 5000: "undecodable", "{worse": "undecodable"}
+
+
 def test_finished_event_is_scrubbed(spark):
     chat, row, failed = all_finished(spark, [S.CHAT, S.TOOL_CALL, S.LLM_ERROR])
     assert chat["body"]["input"] == {"question": "When does the ferry leave?", "secret": "[REDACTED]"}

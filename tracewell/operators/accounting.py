@@ -16,13 +16,18 @@ from tracewell.operators.extras import mapping_reads
 from tracewell.operators.filters import ai_verdict
 from tracewell.operators.rules import Rule
 
+REFUSALS = ("undecodable", "too_large")
 OUTCOMES = ("ignored", "filtered", "oversize", "queue_full", "llm", "mcp")
 
 
-def outcome_accounting(events: DataFrame) -> DataFrame:
-    """One row: a count per outcome and ``received``, which is their sum."""
+def outcome_accounting(events: DataFrame, refused: DataFrame | None = None) -> DataFrame:
+    """One row: a count per outcome and ``received``, which is their sum. With the
+    ``refused`` exports, whose spans nobody can count, also a count of exports per reason."""
     counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
-    return events.agg(*counts, F.count("*").alias("received"))
+    row = events.agg(*counts, F.count("*").alias("received"))
+    if refused is None:
+        return row
+    return row.crossJoin(refused.agg(*(F.count_if(F.col("reason") == r).alias(f"exports_{r}") for r in REFUSALS)))
 
 
 def delivery_accounting(acks: DataFrame) -> DataFrame:

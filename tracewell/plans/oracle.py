@@ -268,6 +268,12 @@ _sql("outcome_accounting", """
   SELECT count(*) FILTER (outcome = 'ignored') AS ignored, count(*) FILTER (outcome = 'filtered') AS filtered,
     0::BIGINT AS oversize, 0::BIGINT AS queue_full, count(*) FILTER (outcome = 'llm') AS llm,
     count(*) FILTER (outcome = 'mcp') AS mcp, count(*) AS received FROM spans""", SPANS)
+_sql("refused_accounting", f"""
+  SELECT count(*) FILTER (outcome = 'ignored') AS ignored, count(*) FILTER (outcome = 'filtered') AS filtered,
+    0::BIGINT AS oversize, 0::BIGINT AS queue_full, count(*) FILTER (outcome = 'llm') AS llm,
+    count(*) FILTER (outcome = 'mcp') AS mcp, count(*) AS received,
+    (SELECT count(*) FROM events WHERE {K} % 7 = 0) AS exports_undecodable,
+    (SELECT count(*) FROM events WHERE {K} % 7 = 1 AND event_id % 50 = 0) AS exports_too_large FROM spans""", SPANS)
 WORDS = r"regexp_replace(lower(regexp_replace(regexp_replace(name, '([a-z0-9])([A-Z])', '\1_\2', 'g'), '([A-Z])([A-Z][a-z])', '\1_\2', 'g')), '[^a-z0-9]+', '_', 'g')"
 RISKY = "(^|_)(password|passwd|secret|token|api_key|apikey|api_secret|access_token|refresh_token|authorization|auth|" \
     "credential|credentials|private_key|ssh_key|session_id|session_token|cookie|credit_card|card_number|cvv|ssn)(_|$)"

@@ -416,6 +416,17 @@ def outcome_accounting(spark, sf_dir):
     return accounting.outcome_accounting(span_events(S.spans(spark, sf_dir), SPAN_OPTIONS))
 
 
+@query
+def refused_accounting(spark, sf_dir):
+    """Outcomes of exports of which some cannot be decoded or are too large."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    text = F.when(k % 7 == 0, "{broken").when((k % 7 == 1) & (F.col("event_id") % 50 == 0), F.repeat(F.lit("x"), 100_001))
+    others = S.table(spark, sf_dir, "events").select(text.alias("value")).filter("value IS NOT NULL")
+    good, refused = otlp.quarantine_undecodable(S.exports(spark, sf_dir).unionByName(others), max_bytes=100_000)
+    spans = otlp.merge_span_event_attributes(otlp.flatten_attributes(otlp.spans_of(good)))
+    return accounting.outcome_accounting(span_events(spans, SPAN_OPTIONS), refused)
+
+
 @query
 def attribute_catalog(spark, sf_dir):
     out = accounting.attribute_catalog(S.spans(spark, sf_dir))

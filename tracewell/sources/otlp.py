@@ -55,10 +55,26 @@ def quarantine_undecodable(raw: DataFrame, col: str = "value",
     return good, decoded.filter(F.col("reason").isNotNull()).drop("export")
 
 
-def read_otlp_traces(spark: SparkSession, path: str, stream: bool = False, *, layout: str = "lines") -> DataFrame:
-    """Spans of all decodable exports under ``path``, attributes flattened."""
-    good, _ = quarantine_undecodable(read_exports(spark, path, stream=stream, layout=layout))
-    return merge_span_event_attributes(flatten_attributes(spans_of(good)))
+def traces_and_refused(spark: SparkSession, path: str, stream: bool = False, *, layout: str = "lines",
+                       max_bytes: int = MAX_EXPORT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(spans, refused): spans of all decodable exports under ``path``, attributes
+    flattened, and the texts of the others (``value``) with their ``reason``, to be
+    written beside them and counted by ``accounting.outcome_accounting``."""
+    good, refused = quarantine_undecodable(read_exports(spark, path, stream=stream, layout=layout), max_bytes=max_bytes)
+    return merge_span_event_attributes(flatten_attributes(spans_of(good))), refused
+
+
+def read_otlp_traces(spark: SparkSession, path: str, stream: bool = False, *, layout: str = "lines",
+                     refused_path: str | None = None) -> DataFrame:
+    """Spans of all decodable exports under ``path``, attributes flattened. The refused
+    exports of a batch are appended to ``refused_path``; without it, and on streams,
+    ``traces_and_refused`` has them."""
+    if stream and refused_path:
+        raise ValueError("refused exports of a stream are a stream of their own: see traces_and_refused")
+    spans, refused = traces_and_refused(spark, path, stream, layout=layout)
+    if refused_path:
+        refused.write.mode("append").parquet(refused_path)
+    return spans
 
 
 def spans_of(exports: DataFrame) -> DataFrame:
