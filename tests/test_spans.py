@@ -255,6 +255,15 @@ def test_span_attributes_win_over_event_attributes(spark):
     assert row["attrs"] == {"a": "top", "b": "2"}
 
 
+def test_non_finite_numbers_stay_at_their_value(spark):
+    nested = {"kvlistValue": {"values": [{"key": "a", "value": {"doubleValue": "NaN"}}, {"key": "b", "value": {"doubleValue": "Infinity"}},
+                                         {"key": "c", "value": {"doubleValue": 1.5}}, {"key": "d", "value": {"stringValue": "x"}}]}}
+    item = S.span("x", {})
+    item["attributes"] = [{"key": "n", "value": nested}, {"key": "m", "value": {"arrayValue": {"values": [{"intValue": "3"}]}}}]
+    (row,) = rows(spans(spark, item).select(F.to_variant_object("attrs").alias("attrs")), "attrs")
+    assert row["attrs"] == {"n": {"a": "NaN", "b": "Infinity", "c": 1.5, "d": "x"}, "m": [3]}
+
+
 def test_quarantine(spark):
     raw = spark.createDataFrame([(S.export(S.CHAT),), ("{bad",), ('{"resourceSpans": 3}',), ("x" * 200,)], "value string")
     reasons = [r.reason for r in decode_exports(raw, max_bytes=1 << 20).collect()]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import json
+import math
 import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
@@ -136,7 +137,9 @@ def _plain(node: object, depth: int) -> object:
     if "intValue" in node:
         return int(node["intValue"])
     if "doubleValue" in node:
-        return float(node["doubleValue"])
+        number = float(node["doubleValue"])
+        # JSON has no such numbers: their text, as protobuf writes them.
+        return number if math.isfinite(number) else "NaN" if math.isnan(number) else "Infinity" if number > 0 else "-Infinity"
     if "bytesValue" in node:
         return bytes_text(node["bytesValue"])
     return node.get("stringValue", node.get("boolValue"))

@@ -217,6 +217,9 @@ ATTRS = "roles AS (SELECT *, CASE WHEN event_type <> 'error' THEN event_type ELS
         for name, role, value in ATTRIBUTES) + ")"
 _sql("span_attributes", "SELECT name, count(*) AS spans, count(DISTINCT v) AS distinct_values FROM attrs GROUP BY name",
      SPANS, ATTRS)
+_sql("nested_span_attributes", f"""
+  SELECT CAST({K} AS VARCHAR) AS name, 'NaN' AS bad, CAST({K} AS VARCHAR) AS good, 'hi' AS nested_raw, '-Infinity' AS first,
+    '0.5' AS second, 'base64:/w==' AS raw, count(*) AS n FROM events GROUP BY 1, 3""")
 _sql("quarantine_undecodable", f"""
   SELECT CASE {K} % 7 WHEN 0 THEN 'undecodable' WHEN 1 THEN 'too_large' ELSE 'good' END AS reason, count(*) AS n
   FROM events GROUP BY 1""")

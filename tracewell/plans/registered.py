@@ -335,6 +335,26 @@ def span_attributes(spark, sf_dir):
     return rows.groupBy("name").agg(F.count("*").alias("spans"), F.countDistinct(as_text(F.col("v"))).alias("distinct_values"))
 
 
+@query
+def nested_span_attributes(spark, sf_dir):
+    """Lists and maps, with doubles that JSON has no number for, and bytes."""
+    k = F.get_json_object("props", "$.k")
+    text = F.format_string(
+        '{"resourceSpans":[{"scopeSpans":[{"scope":{"name":"s"},"spans":[{"name":"%s","attributes":['
+        '{"key":"nest","value":{"kvlistValue":{"values":[{"key":"bad","value":{"doubleValue":"NaN"}},'
+        '{"key":"good","value":{"intValue":"%s"}},{"key":"raw","value":{"bytesValue":"aGk="}}]}}},'
+        '{"key":"list","value":{"arrayValue":{"values":[{"doubleValue":"-Infinity"},{"doubleValue":0.5}]}}},'
+        '{"key":"raw","value":{"bytesValue":"/w=="}}]}]}]}]}', k, k)
+    good, _ = otlp.quarantine_undecodable(S.table(spark, sf_dir, "events").select(text.alias("value")))
+    attrs = F.col("attrs")
+    def nested(path: str, name: str):
+        return F.try_variant_get(attrs[name], path, "string")
+    rows = otlp.flatten_attributes(otlp.spans_of(good)).select(
+        "name", nested("$.bad", "nest").alias("bad"), nested("$.good", "nest").alias("good"), nested("$.raw", "nest").alias("nested_raw"),
+        nested("$[0]", "list").alias("first"), nested("$[1]", "list").alias("second"), as_text(attrs["raw"]).alias("raw"))
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
 @query
 def quarantine_undecodable(spark, sf_dir):
     rows = S.table(spark, sf_dir, "events")
