@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import contextmix, derivatives, fingerprints, hostarray, ledger, mixture, ppm, snapshots, tiling, toccurrence
+from tracewell.llm import (
+    contextmix,
+    derivatives,
+    fingerprints,
+    hostarray,
+    ledger,
+    manifest,
+    mixture,
+    ppm,
+    snapshots,
+    tiling,
+    toccurrence,
+)
 from tracewell.llm.shared import bounded_batches, fold, shared_folder
 
 
@@ -86,6 +98,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the table; some rows are checked as if ``n_chars`` had been changed."""
+    documents = table(spark, sf_dir, "documents")
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = [column + 1 if i == 3 else column for i, column in enumerate(columns)]
+    probe = F.when(fold("doc_id", 7) == 0, manifest.leaf(changed))
+    proved = manifest.manifest(documents, "doc_id", "lang", columns, probe)
+    proof = F.col("proof")
+    folded = manifest.fold(F.coalesce("probe", "leaf"), proof)
+    return proved.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.sha2(manifest.proof_text(proof), 256).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
@@ -97,8 +123,34 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+def crc32_sql(value: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes, bit by bit: DuckDB has no such function."""
+    byte = f"CAST('0x' || substr(hex(encode({value})), 2 * i + 1, 2) AS BIGINT)"
+    steps = f"flatten(list_transform(range(octet_length(encode({value}))), lambda i: [{byte}, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda c, b: xor(xor(c, b) >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), {step}), 4294967295)"
+
+
+def field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(field_sql(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def tree_sql(name: str, leaves: str) -> str:
+    """All nodes of the trees over ``leaves`` (tree, pos, h), level by level."""
+    return f"""{name}(tree, level, pos, h) AS (
+        SELECT tree, 0, pos, h FROM {leaves}
+        UNION ALL
+        SELECT tree, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+        FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}) WHERE n > 1 GROUP BY tree, level, pos // 2)"""
+
+
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
@@ -113,6 +165,36 @@ ORACLE = {
         SELECT conv_id, place // 256 AS part, n_turns, copies,
                string_agg('<|im_start|>' || turn.role || chr(10) || turn.text || '<|im_end|>' || chr(10), '' ORDER BY place) AS rendered
         FROM placed GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY conv_id, place // 256, n_turns, copies"),
+    # Levels one after the other; then each row's way up through its group's tree and the groups' tree.
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE
+             leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos
+                        FROM (SELECT doc_id, coalesce('1' || lang, '0') AS tree, {leaf_sql("n_chars")} AS h,
+                                     CASE WHEN {crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '')")} % 7 = 0
+                                          THEN {leaf_sql("n_chars + 1")} END AS probe FROM documents)),
+             {tree_sql("nodes", "leaves")},
+             subroots AS (SELECT tree AS member, arg_max(h, level) AS h, max(level) AS height, '' AS tree,
+                                 row_number() OVER (ORDER BY tree) - 1 AS pos FROM nodes GROUP BY nodes.tree),
+             {tree_sql("tops", "subroots")},
+             steps AS (SELECT l.tree, l.pos, r.level, sibling.h AS sibling, (l.pos >> r.level) % 2 = 1 AS on_left
+                       FROM leaves l JOIN subroots s ON l.tree = s.member, unnest(range(s.height)) AS r(level)
+                       LEFT JOIN nodes sibling ON sibling.tree = l.tree AND sibling.level = r.level AND sibling.pos = xor(l.pos >> r.level, 1)
+                       UNION ALL
+                       SELECT l.tree, l.pos, s.height + r.level, sibling.h, (s.pos >> r.level) % 2 = 1
+                       FROM leaves l JOIN subroots s ON l.tree = s.member, unnest(range((SELECT max(level) FROM tops))) AS r(level)
+                       LEFT JOIN tops sibling ON sibling.level = r.level AND sibling.pos = xor(s.pos >> r.level, 1)),
+             folded(tree, pos, level, h) AS (
+                       SELECT tree, pos, 0, coalesce(probe, h) FROM leaves
+                       UNION ALL
+                       SELECT f.tree, f.pos, f.level + 1,
+                              sha256(CASE WHEN on_left THEN sibling || h ELSE h || coalesce(sibling, '') END)
+                       FROM folded f JOIN steps s ON s.tree = f.tree AND s.pos = f.pos AND s.level = f.level),
+             proofs AS (SELECT tree, pos, string_agg(sibling, '' ORDER BY level) AS proof FROM steps GROUP BY tree, pos),
+             ends AS (SELECT tree, pos, arg_max(h, level) AS folded_root FROM folded GROUP BY tree, pos)
+        SELECT doc_id, l.h AS leaf, s.h AS subroot, root.h AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root,
+               folded_root = root.h AS verified
+        FROM leaves l JOIN subroots s ON l.tree = s.member JOIN ends e ON e.tree = l.tree AND e.pos = l.pos
+        LEFT JOIN proofs p ON p.tree = l.tree AND p.pos = l.pos, (SELECT arg_max(h, level) AS h FROM tops) root""",
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
