@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.llm import (
+    branches,
     contextmix,
     derivatives,
     fingerprints,
     hostarray,
+    importance,
     ledger,
     manifest,
     mixture,
@@ -98,6 +100,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resampled(documents, "doc_id", "text", benchmark, "text").select(
+        F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = branches.compared(table(spark, sf_dir, "documents"), "doc_id", "text")
+    spans = F.transform("edits", lambda s: F.concat(s["start"], F.lit("-"), s["stop"]))
+    return prints.select(
+        F.col("key").alias("doc_id"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", F.col("edited_print").alias("edited_fingerprint"), "near_edited", "near_next",
+        F.col("next_key").alias("next_id"), F.array_join(spans, ",").alias("edits"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of the table; some rows are checked as if ``n_chars`` had been changed."""
     documents = table(spark, sf_dir, "documents")
@@ -123,6 +140,8 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -134,6 +153,12 @@ def crc32_sql(value: str) -> str:
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), {step}), 4294967295)"
 
 
+def words_sql(text: str) -> str:
+    """Words of digits, a-z and all but ASCII, after lower-casing A-Z."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
 def field_sql(value: str) -> str:
     return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
 
@@ -165,6 +190,27 @@ ORACLE = {
         SELECT conv_id, place // 256 AS part, n_turns, copies,
                string_agg('<|im_start|>' || turn.role || chr(10) || turn.text || '<|im_end|>' || chr(10), '' ORDER BY place) AS rendered
         FROM placed GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY conv_id, place // 256, n_turns, copies"),
+    "op11_importance_resampling": f"""
+        WITH said AS (SELECT doc_id, row_number() OVER () AS row, {words_sql("text")} AS words FROM documents),
+             own AS (SELECT row, unnest(words) AS word FROM said),
+             aimed AS (SELECT unnest({words_sql("text")}) AS word FROM benchmark),
+             buckets AS (SELECT word, {crc32_sql("word")} % 10000 AS bucket FROM (SELECT word FROM own UNION SELECT word FROM aimed)),
+             source AS (SELECT bucket, count(*) AS s FROM own JOIN buckets USING (word) GROUP BY bucket),
+             target AS (SELECT bucket, count(*) AS t FROM aimed JOIN buckets USING (word) GROUP BY bucket),
+             gains AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM own) + 10000 AS DOUBLE)
+                              / (CAST(s + 1 AS DOUBLE) * CAST((SELECT count(*) FROM aimed) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+                       FROM source LEFT JOIN target USING (bucket)),
+             means AS (SELECT row, CAST(sum(gain) AS BIGINT) AS total, count(*) AS n
+                       FROM own JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY row),
+             weights AS (SELECT doc_id, coalesce(n, 0) AS n_features, len(words) AS n_words,
+                                coalesce((total - ((total % n) + n) % n) // n, 0) AS weight,
+                                CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+                         FROM said LEFT JOIN means USING (row)),
+             scores AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM weights),
+             ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+                       FROM scores WHERE n_words >= 20)
+        SELECT s.doc_id, n_features, weight, score, rank
+        FROM scores s LEFT JOIN (SELECT * FROM ranks WHERE rank <= 10 * n // 100) r ON r.doc_id = s.doc_id""",
     # Levels one after the other; then each row's way up through its group's tree and the groups' tree.
     "op13_merkle_manifest": f"""
         WITH RECURSIVE
