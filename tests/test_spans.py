@@ -267,10 +267,10 @@ def test_non_finite_numbers_stay_at_their_value(spark):
 def test_quarantine(spark):
     raw = spark.createDataFrame([(S.export(S.CHAT),), ("{bad",), ('{"resourceSpans": 3}',), ("x" * 200,)], "value string")
     reasons = [r.reason for r in decode_exports(raw, max_bytes=1 << 20).collect()]
-    assert reasons == [None, "undecodable", "undecodable", "undecodable"]
+    assert reasons == [None, "undecodable", "not_a_list", "undecodable"]
     good, bad = quarantine_undecodable(raw, max_bytes=100)
     assert good.count() == 0
-    assert {r.reason for r in bad.collect()} == {"too_large", "undecodable"}
+    assert {r.reason for r in bad.collect()} == {"too_large", "undecodable", "not_a_list"}
 
 
 def test_read_from_files(spark, tmp_path):

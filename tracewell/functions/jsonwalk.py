@@ -125,24 +125,37 @@ def rewrite(text: Column, walk: Walk) -> Column:
     return F.try_parse_json(done)
 
 
+def _typed(node: dict, kind: str) -> object:
+    """A typed value's content in either spelling of its kind; null when absent."""
+    found = node.get(kind + "Value")
+    return node.get(kind + "_value") if found is None else found
+
+
 def _plain(node: object, depth: int) -> object:
-    """Plain JSON value of a typed attribute value; null past the depth limit."""
+    """Plain JSON value of a typed attribute value; null past the depth limit and for
+    what its type cannot hold. Null entries are skipped."""
     if depth >= MAX_ATTRIBUTE_DEPTH or not isinstance(node, dict):
         return None
-    if "arrayValue" in node:
-        return [_plain(item, depth + 1) for item in (node["arrayValue"] or {}).get("values") or []]
-    if "kvlistValue" in node:
-        pairs = (node["kvlistValue"] or {}).get("values") or []
-        return {pair.get("key", ""): _plain(pair.get("value"), depth + 1) for pair in pairs}
-    if "intValue" in node:
-        return int(node["intValue"])
-    if "doubleValue" in node:
-        number = float(node["doubleValue"])
-        # JSON has no such numbers: their text, as protobuf writes them.
-        return number if math.isfinite(number) else "NaN" if math.isnan(number) else "Infinity" if number > 0 else "-Infinity"
-    if "bytesValue" in node:
-        return bytes_text(node["bytesValue"])
-    return node.get("stringValue", node.get("boolValue"))
+    for kind in ("array", "kvlist"):
+        held = _typed(node, kind)
+        if isinstance(held, dict):
+            items = [item for item in held.get("values") or [] if item is not None]
+            if kind == "array":
+                return [_plain(item, depth + 1) for item in items]
+            return {pair.get("key") or "": _plain(pair.get("value"), depth + 1) for pair in items if isinstance(pair, dict)}
+    try:
+        if _typed(node, "int") is not None:
+            return int(_typed(node, "int"))
+        if _typed(node, "double") is not None:
+            number = float(_typed(node, "double"))
+            # JSON has no such numbers: their text, as protobuf writes them.
+            return number if math.isfinite(number) else "NaN" if math.isnan(number) else "Infinity" if number > 0 else "-Infinity"
+    except (TypeError, ValueError):
+        return None
+    if _typed(node, "bytes") is not None:
+        return bytes_text(_typed(node, "bytes"))
+    text = _typed(node, "string")
+    return _typed(node, "bool") if text is None else text
 
 
 def bytes_text(encoded: str) -> str:
@@ -150,7 +163,7 @@ def bytes_text(encoded: str) -> str:
     import base64
 
     try:
-        return base64.b64decode(encoded).decode("utf-8")
+        return base64.urlsafe_b64decode(encoded.replace("+", "-").replace("/", "_") + "=" * (-len(encoded) % 4)).decode("utf-8")
     except ValueError:
         return "base64:" + encoded
 
@@ -161,7 +174,7 @@ def plain_attributes(entries_json: Column) -> Column:
     @F.pandas_udf("string")
     def unwrapped(texts: pd.Series) -> pd.Series:
         def one(text: str) -> str:
-            return json.dumps({e["key"]: _plain(e["value"], 0) for e in json.loads(text)}, ensure_ascii=False)
+            return json.dumps({e.get("key") or "": _plain(e.get("value"), 0) for e in json.loads(text) if e}, ensure_ascii=False)
 
         return texts.map(one, na_action="ignore").astype(object)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tracewell.plans.sample_tables import SECRET
+from tracewell.plans.sample_tables import ODD_EXPORTS, SECRET
 
 ORACLE: dict[str, str] = {}
 
@@ -220,6 +220,10 @@ _sql("span_attributes", "SELECT name, count(*) AS spans, count(DISTINCT v) AS di
 _sql("nested_span_attributes", f"""
   SELECT CAST({K} AS VARCHAR) AS name, 'NaN' AS bad, CAST({K} AS VARCHAR) AS good, 'hi' AS nested_raw, '-Infinity' AS first,
     '0.5' AS second, 'base64:/w==' AS raw, count(*) AS n FROM events GROUP BY 1, 3""")
+ODD = "CASE event_id % " + str(len(ODD_EXPORTS)) + " " + " ".join(f"WHEN {i} THEN '{r or 'sound'}'" for i, (r, _) in enumerate(ODD_EXPORTS)) + " END"
+_sql("odd_exports", f"""
+  SELECT {ODD} AS reason, CASE WHEN {ODD} = 'sound' THEN 'n' || {K} END AS name, count(*) AS exports,
+    CAST(CASE WHEN {ODD} = 'sound' THEN 7 * count(*) END AS BIGINT) AS total FROM events GROUP BY 1, 2""")
 _sql("quarantine_undecodable", f"""
   SELECT CASE {K} % 7 WHEN 0 THEN 'undecodable' WHEN 1 THEN 'too_large' ELSE 'good' END AS reason, count(*) AS n
   FROM events GROUP BY 1""")

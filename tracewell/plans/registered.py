@@ -355,6 +355,18 @@ def nested_span_attributes(spark, sf_dir):
     return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
 
 
+@query
+def odd_exports(spark, sf_dir):
+    """Exports in both spellings, with absent keys, and broken in many ways: counts by reason, and what the sound ones hold."""
+    decoded = otlp.decode_exports(S.odd_exports(spark, sf_dir))
+    refused = decoded.groupBy("reason").agg(F.count("*").alias("exports")).filter("reason IS NOT NULL")
+    spans = otlp.flatten_attributes(otlp.spans_of(decoded))
+    number = F.try_variant_get(F.col("attrs")[""], "$", "bigint")
+    sound = spans.groupBy("name").agg(F.count("*").alias("exports"), F.sum(number).alias("total"))
+    return refused.select("reason", F.lit(None).cast("string").alias("name"), "exports", F.lit(None).cast("bigint").alias("total")) \
+        .unionByName(sound.select(F.lit("sound").alias("reason"), "name", "exports", "total"))
+
+
 @query
 def quarantine_undecodable(spark, sf_dir):
     rows = S.table(spark, sf_dir, "events")

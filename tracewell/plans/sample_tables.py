@@ -229,6 +229,31 @@ def exports(spark: SparkSession, sf_dir: str) -> DataFrame:
         "resourceSpans"))).alias("value"))
 
 
+#: (reason, export) of exports as careless senders write them; ``%s`` takes a value of the row.
+ODD_EXPORTS = (
+    (None, '{"resource_spans":[{"scope_spans":[{"spans":[{"name":"n%s","attributes":[{"value":{"int_value":"7"}}]}]}]}]}'),
+    (None, '{"resourceSpans":[{"scopeSpans":[{"spans":[{"name":"n%s","status":null,"attributes":[{"key":"","value":{"intValue":7.0}}]}]}]}]}'),
+    ("null_entry", '{"resourceSpans":[{"scopeSpans":[{"spans":[{"name":"n%s"},null]}]}]}'),
+    ("bad_scalar", '{"resourceSpans":[{"scopeSpans":[{"spans":[{"attributes":[{"key":"k","value":{"intValue":"a%s"}}]}]}]}]}'),
+    ("bad_scalar", '{"resourceSpans":[{"scopeSpans":[{"spans":[{"attributes":[{"key":"n%s","value":{"bytesValue":"!!!"}}]}]}]}]}'),
+    ("bad_scalar", '{"resourceSpans":[{"scopeSpans":[{"spans":[{"attributes":[{"key":"k","value":{"arrayValue":{"values":[{"intValue":"a%s"}]}}}]}]}]}]}'),
+    ("null_entry", '{"resourceSpans":[{"scopeSpans":[{"spans":[{"attributes":[{"key":"n%s","value":{"kvlistValue":{"values":[null]}}}]}]}]}]}'),
+    ("unknown_field", '{"resourceSpans":[{"scopeSpans":[{"spans":[{"title":"n%s"}]}]}]}'),
+    ("field_twice", '{"resourceSpans":[{"scopeSpans":[{"spans":[{"traceId":"","trace_id":"","name":"n%s"}]}]}]}'),
+    ("several_values", '{"resourceSpans":[{"scopeSpans":[{"spans":[{"attributes":[{"key":"k","value":{"intValue":"%s","boolValue":true}}]}]}]}]}'),
+    ("not_a_list", '{"resourceSpans":{"name":"n%s"}}'),
+    ("not_an_object", '["n%s"]'),
+    ("undecodable", '{"resourceSpans":[n%s'),
+)
+
+
+def odd_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export for each event, in column ``value``, of all the kinds above in turn."""
+    k = _k().cast("string")
+    kinds = F.array(*(F.format_string(text, k) for _, text in ODD_EXPORTS))
+    return table(spark, sf_dir, "events").select(F.get(kinds, (F.col("event_id") % len(ODD_EXPORTS)).cast("int")).alias("value"))
+
+
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = quarantine_undecodable(exports(spark, sf_dir))
     return merge_span_event_attributes(flatten_attributes(spans_of(good)))

@@ -6,24 +6,27 @@ whole file. Everything up to the span table is narrow: no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.constants import MAX_EXPORT_BYTES
 from tracewell.functions.jsonwalk import plain_attributes
+from tracewell.functions.lets import fence
 from tracewell.functions.variants import OBJECT
 from tracewell.session import prepare_session
+from tracewell.sources.otlp_faults import export_fault, get_field, get_list, usual
 
-_ATTRIBUTES = "ARRAY<STRUCT<key: STRING, value: VARIANT>>"
+_ATTRIBUTES = "array<struct<key:string,value:variant>>"
 _SPAN = (
-    "STRUCT<traceId: STRING, spanId: STRING, parentSpanId: STRING, name: STRING,"
-    " startTimeUnixNano: STRING, endTimeUnixNano: STRING,"
-    " status: STRUCT<code: STRING, message: STRING>,"
-    f" attributes: {_ATTRIBUTES}, events: ARRAY<STRUCT<name: STRING, attributes: {_ATTRIBUTES}>>>"
+    "struct<traceId:string,spanId:string,parentSpanId:string,name:string,startTimeUnixNano:string,endTimeUnixNano:string,flags:string,"
+    f"status:struct<code:string,message:string>,attributes:{_ATTRIBUTES},"
+    f"events:array<struct<name:string,timeUnixNano:string,attributes:{_ATTRIBUTES}>>>"
 )
-EXPORT_SCHEMA = (
-    "resourceSpans ARRAY<STRUCT<scopeSpans: ARRAY<STRUCT<scope: STRUCT<name: STRING>,"
-    f" spans: ARRAY<{_SPAN}>>>>>, _bad STRING"
+_RESOURCE_SPANS = (
+    f"array<struct<resource:struct<attributes:{_ATTRIBUTES}>,"
+    f"scopeSpans:array<struct<scope:struct<name:string,attributes:{_ATTRIBUTES}>,spans:array<{_SPAN}>>>>>"
 )
 
 
@@ -34,23 +37,66 @@ def read_exports(spark: SparkSession, path: str, *, stream: bool = False, layout
     return reader.format("text").option("wholetext", layout == "file").load(path).select("value")
 
 
-def decode_exports(raw: DataFrame, col: str = "value", max_bytes: int = MAX_EXPORT_BYTES) -> DataFrame:
-    """Adds ``export`` (decoded, or null) and ``reason`` (null, ``too_large`` or
-    ``undecodable``). An export is taken or refused as a whole."""
-    size_ok = F.octet_length(col) <= max_bytes
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    decoded = raw.withColumn("export", F.when(size_ok, F.from_json(F.col(col), EXPORT_SCHEMA, options)))
-    reason = (
-        F.when(F.octet_length(col) > max_bytes, F.lit("too_large"))
-        .when(F.col("export").isNull() | F.col("export._bad").isNotNull(), F.lit("undecodable"))
-    )
-    return decoded.withColumn("reason", reason)
-
-
-def quarantine_undecodable(raw: DataFrame, col: str = "value",
-                           max_bytes: int = MAX_EXPORT_BYTES) -> tuple[DataFrame, DataFrame]:
+def _list(message: Column, name: str, item: Callable[[Column], Column]) -> Column:
+    """``item`` of every entry of a list; null entries, where they are let in, are skipped."""
+    return F.transform(F.filter(get_list(message, name), lambda e: ~F.is_variant_null(e)), item)
+
+
+def _attributes(message: Column) -> Column:
+    """Pairs of a key, which is empty when absent, and a value."""
+    return _list(message, "attributes", lambda pair: F.struct(
+        F.coalesce(get_field(pair, "key"), F.lit("")).alias("key"), get_field(pair, "value", "variant").alias("value")))
+
+
+def _span(span: Column) -> Column:
+    texts = ("traceId", "spanId", "parentSpanId", "name", "startTimeUnixNano", "endTimeUnixNano", "flags")
+    return F.struct(
+        *(get_field(span, name).alias(name) for name in texts),
+        F.struct(get_field(span, "status.code").alias("code"), get_field(span, "status.message").alias("message")).alias("status"),
+        _attributes(span).alias("attributes"),
+        _list(span, "events", lambda event: F.struct(
+            *(get_field(event, name).alias(name) for name in ("name", "timeUnixNano")), _attributes(event).alias("attributes"))).alias("events"))
+
+
+def _typed(document: Column) -> Column:
+    """A sound export of any spelling as nested structs."""
+    def holder(message: Column, name: str, *texts: str) -> Column:
+        held = F.coalesce(get_field(message, name, "variant"), F.try_parse_json(F.lit("{}")))
+        return F.struct(*(get_field(held, t).alias(t) for t in texts), _attributes(held).alias("attributes")).alias(name)
+
+    return _list(document, "resourceSpans", lambda resource: F.struct(
+        holder(resource, "resource"), _list(resource, "scopeSpans", lambda scoped: F.struct(
+            holder(scoped, "scope", "name"), _list(scoped, "spans", _span).alias("spans"))).alias("scopeSpans"))).cast(_RESOURCE_SPANS)
+
+
+def decode_exports(raw: DataFrame, col: str = "value", max_bytes: int = MAX_EXPORT_BYTES,
+                   null_entries: str = "refuse") -> DataFrame:
+    """Adds ``export`` (decoded, or null) and ``reason``: null, ``too_large``, ``undecodable``
+    (no JSON) or a fault of ``otlp_faults``. An export is taken or refused as a whole.
+
+    Absent fields read as the empty value of their type. With ``null_entries="skip"`` null in a list is
+    passed over instead of refusing the export. Each text is parsed once.
+    """
+    prepare_session(raw.sparkSession)
+    text = F.col(col)
+    fits = F.octet_length(text) <= max_bytes
+    # Each text is parsed once, and usual exports are made into structs in one go; only
+    # the others are taken apart and tested field by field.
+    parsed = raw.withColumn("_document", fence(F.try_parse_json(F.when(fits, text))))
+    parsed = parsed.withColumn("_export", fence(F.try_variant_get("_document", "$.resourceSpans", _RESOURCE_SPANS)))
+    parsed = parsed.withColumn("_usual", fence(usual(parsed, "_document", "_export")))
+    other = F.when(~F.coalesce("_usual", F.lit(False)), F.col("_document"))
+    judged = export_fault(parsed.withColumn("_other", other), "_other", text, null_entries == "skip")
+    reason = F.when(~fits, F.lit("too_large")).when(F.col("_document").isNull(), F.lit("undecodable")).otherwise(F.col("_fault"))
+    typed = F.when(F.col("_usual"), F.col("_export")).when(reason.isNull(), _typed(F.col("_document")))
+    export = F.when(reason.isNull(), F.struct(typed.alias("resourceSpans")))
+    return judged.select(*raw.columns, export.alias("export"), reason.alias("reason"))
+
+
+def quarantine_undecodable(raw: DataFrame, col: str = "value", max_bytes: int = MAX_EXPORT_BYTES,
+                           null_entries: str = "refuse") -> tuple[DataFrame, DataFrame]:
     """(good, quarantine): decoded exports, and refused texts with their reason."""
-    decoded = decode_exports(raw, col, max_bytes)
+    decoded = decode_exports(raw, col, max_bytes, null_entries)
     good = decoded.filter(F.col("reason").isNull()).drop("reason")
     return good, decoded.filter(F.col("reason").isNotNull()).drop("export")
 
@@ -64,6 +110,24 @@ def traces_and_refused(spark: SparkSession, path: str, stream: bool = False, *,
     return merge_span_event_attributes(flatten_attributes(spans_of(good))), refused
 
 
+def store_traces(spark: SparkSession, path: str, out: str, *, layout: str = "lines", max_bytes: int = MAX_EXPORT_BYTES,
+                 null_entries: str = "refuse") -> tuple[DataFrame, DataFrame]:
+    """Appends the spans under ``path`` and the refused exports to ``out`` in one pass over
+    the texts, and returns both as they are stored: (spans, refused). ``traces_and_refused``
+    decodes anew for each of its tables; this is for batches that want both.
+    """
+    decoded = decode_exports(read_exports(spark, path, layout=layout), max_bytes=max_bytes, null_entries=null_entries)
+    refused = F.col("reason").isNotNull()
+    # A refused export is carried on as one span without fields.
+    nothing = F.from_json(F.lit('{"resourceSpans":[{"scopeSpans":[{"spans":[{}]}]}]}'), decoded.schema["export"].dataType)
+    kept = decoded.select(F.when(refused, F.col("value")).alias("value"), "reason", F.when(refused, nothing).otherwise(F.col("export")).alias("export"))
+    spans = merge_span_event_attributes(flatten_attributes(spans_of(kept, "value", "reason")))
+    part = F.when(F.col("reason").isNull(), "spans").otherwise("refused")
+    spans.withColumn("part", part).write.mode("append").partitionBy("part").parquet(out)
+    stored = spark.read.schema(spans.withColumn("part", part).schema).parquet(out)
+    return stored.filter("part = 'spans'").drop("part", "value", "reason"), stored.filter("part = 'refused'").select("value", "reason")
+
+
 def read_otlp_traces(spark: SparkSession, path: str, stream: bool = False, *, layout: str = "lines",
                      refused_path: str | None = None) -> DataFrame:
     """Spans of all decodable exports under ``path``, attributes flattened. The refused
@@ -77,18 +141,22 @@ def read_otlp_traces(spark: SparkSession, path: str, stream: bool = False, *, la
     return spans
 
 
-def spans_of(exports: DataFrame) -> DataFrame:
-    """One row per span; ids as lower-case hex, times as nanoseconds."""
+def spans_of(exports: DataFrame, *carried: str) -> DataFrame:
+    """One row per span; ids as lower-case hex, times as nanoseconds. ``carried`` columns
+    of the export are repeated on each."""
 
     def hex_id(name: str) -> Column:
-        return F.lower(F.hex(F.try_to_binary(F.col(name), F.lit("base64")))).alias
+        text = F.translate(F.col(name), "-_", "+/")
+        padded = F.rpad(text, F.ceil(F.length(text) / 4).cast("int") * 4, F.lit("="))
+        return F.lower(F.hex(F.try_to_binary(padded, F.lit("base64")))).alias
 
     spans = (
-        exports.select(F.inline("export.resourceSpans"))
-        .select(F.inline("scopeSpans"))
-        .select(F.col("scope.name").alias("scope"), F.inline("spans"))
+        exports.select(*carried, F.inline("export.resourceSpans"))
+        .select(*carried, F.inline("scopeSpans"))
+        .select(*carried, F.col("scope.name").alias("scope"), F.inline("spans"))
     )
     return spans.select(
+        *carried,
         "scope",
         "name",
         hex_id("traceId")("trace_id"),
@@ -107,9 +175,9 @@ def _plain_value(value: Column) -> Column:
     """Scalar attribute value -> plain VARIANT; nested values -> null here."""
 
     def get(name: str, dtype: str) -> Column:
-        return F.try_variant_get(value, f"$.{name}", dtype)
+        return get_field(value, name, dtype)
 
-    data = F.unbase64(get("bytesValue", "string"))
+    data = F.unbase64(F.translate(get("bytesValue", "string"), "-_", "+/"))
     text = F.when(F.is_valid_utf8(data.cast("string")), data.cast("string")).otherwise(
         F.concat(F.lit("base64:"), F.base64(data))
     )
@@ -123,16 +191,13 @@ def _plain_value(value: Column) -> Column:
 
 
 def _is_nested(value: Column) -> Column:
-    return F.coalesce(
-        F.try_variant_get(value, "$.arrayValue", "variant").isNotNull()
-        | F.try_variant_get(value, "$.kvlistValue", "variant").isNotNull(),
-        F.lit(False),
-    )
+    return F.coalesce(get_field(value, "arrayValue", "variant"), get_field(value, "kvlistValue", "variant")).isNotNull()
 
 
 def _attribute_map(entries: Column) -> Column:
     """Plain attribute map; a repeated key keeps its last value."""
-    pairs = F.transform(entries, lambda e: F.struct(e["key"], _plain_value(e["value"]).alias("value")))
+    pairs = F.transform(entries, lambda e: F.struct(
+        F.coalesce(e["key"], F.lit("")).alias("key"), _plain_value(e["value"]).alias("value")))
     return F.map_from_entries(F.coalesce(pairs, F.array().cast("ARRAY<STRUCT<key: STRING, value: VARIANT>>")))
 
 
