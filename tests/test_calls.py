@@ -35,27 +35,27 @@ def same(got, want, *cols):
     assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
 
 
-@pytest.mark.parametrize("seconds", [60, 3600, 10**7])
-def test_timeline_equals_plain_windows(hot, seconds):
+@pytest.mark.parametrize("run_rows", [7, 100, 10**7])
+def test_timeline_equals_plain_windows(hot, run_rows):
     plain = Window.partitionBy("session_id").orderBy("ts", "event_id")
-    prev = timeline.with_previous(hot, ["session_id"], ["event_id", "ts"], seconds=seconds)
+    prev = timeline.with_previous(hot, ["session_id"], ["event_id", "ts"], run_rows=run_rows)
     same(prev, hot.withColumns({"prev_event_id": F.lag("event_id").over(plain), "prev_ts": F.lag("ts").over(plain)}),
          "event_id", "prev_event_id", "prev_ts")
-    after = timeline.with_next(hot, ["session_id"], ["event_id"], seconds=seconds)
+    after = timeline.with_next(hot, ["session_id"], ["event_id"], run_rows=run_rows)
     same(after, hot.withColumn("next_event_id", F.lead("event_id").over(plain)), "event_id", "next_event_id")
-    total = timeline.with_running_total(hot, ["session_id"], F.col("event_id") % 5, "total", seconds=seconds)
+    total = timeline.with_running_total(hot, ["session_id"], F.col("event_id") % 5, "total", run_rows=run_rows)
     same(total, hot.withColumn("total", F.sum(F.col("event_id") % 5).over(plain)), "event_id", "total")
     mark = F.col("handler_name") == "h1"
-    last = timeline.with_latest(hot, ["session_id"], mark, ["event_id"], seconds=seconds)
+    last = timeline.with_latest(hot, ["session_id"], mark, ["event_id"], run_rows=run_rows)
     frame = Window.partitionBy("session_id").orderBy(F.unix_micros("ts")).rangeBetween(Window.unboundedPreceding, -1)
     best = F.max(F.when(mark, F.struct("ts", "event_id"))).over(frame)
     same(last, hot.withColumn("last_event_id", best["event_id"]), "event_id", "last_event_id")
 
 
-@pytest.mark.parametrize("seconds", [60, 3600, 10**7])
-def test_group_numbers_equal_plain_windows(hot, seconds):
+@pytest.mark.parametrize("run_rows", [7, 100, 10**7])
+def test_group_numbers_equal_plain_windows(hot, run_rows):
     plain = Window.partitionBy("session_id").orderBy("ts", "event_id")
-    got = analytics.sessionize(hot, 300, ["session_id"], seconds=seconds)
+    got = analytics.sessionize(hot, 300, ["session_id"], run_rows=run_rows)
     fresh = F.coalesce((F.unix_micros("ts") - F.unix_micros(F.lag("ts").over(plain)) > 300_000_000).cast("int"), F.lit(1))
     want = hot.withColumn("fresh", fresh).withColumn("session_no", F.sum("fresh").over(plain))
     same(got, want, "event_id", "session_no")
@@ -68,8 +68,42 @@ def test_rows_without_time_are_kept(spark):
 
 
 def test_a_hot_key_is_spread(hot):
-    sizes = timeline._sliced(hot, ["session_id"], "ts", 3600).groupBy("_key", "_slice").count()
-    assert sizes.agg(F.max("count")).first()[0] < 60 < hot.filter("session_id = 'hot'").count()
+    line = timeline._Timeline(hot, ["session_id"], "ts", "event_id", 100)
+    sizes = line.rows.groupBy("_key", "_run").count()
+    assert sizes.agg(F.max("count")).first()[0] < 300 < hot.filter("session_id = 'hot'").count()
+
+
+@pytest.fixture(scope="module")
+def one_second(spark):
+    """3000 calls of one session at two times only, some rows without any."""
+    return spark.range(3000).select(
+        F.col("id").alias("event_id"), F.lit("hot").alias("session_id"),
+        F.when(F.col("id") % 100 > 0, F.timestamp_seconds(F.lit(1767225600) + F.floor(F.col("id") / 2000))).alias("ts"),
+        F.when(F.pmod(F.xxhash64("id"), F.lit(5)) == 0, "h1").otherwise("h2").alias("handler_name")).cache()
+
+
+@pytest.mark.parametrize("mark", ["h1", "h2", "none"])
+def test_a_key_within_one_second_is_cut_by_the_tie(one_second, mark):
+    line = timeline._Timeline(one_second, ["session_id"], "ts", "event_id", 100)
+    assert line.rows.groupBy("_run").count().agg(F.max("count")).first()[0] < 300
+    frame = Window.partitionBy("session_id").orderBy(F.unix_micros("ts")).rangeBetween(Window.unboundedPreceding, -1)
+    marked = F.col("handler_name") == mark
+    best = F.max(F.when(marked, F.struct(F.unix_micros("ts").alias("at"), "event_id"))).over(frame)
+    got = timeline.with_latest(one_second, ["session_id"], marked, ["event_id"], run_rows=100)
+    want = one_second.withColumn("last_event_id", F.when(F.col("ts").isNotNull(), best["event_id"]))
+    same(got.filter("ts IS NOT NULL"), want.filter("ts IS NOT NULL"), "event_id", "last_event_id")
+    plain = Window.partitionBy("session_id").orderBy("ts", "event_id")
+    got = timeline.with_previous(one_second, ["session_id"], ["event_id"], run_rows=100)
+    same(got, one_second.withColumn("prev_event_id", F.lag("event_id").over(plain)), "event_id", "prev_event_id")
+
+
+def test_a_cut_timeline_reads_its_input_once(spark, hot, tmp_path):
+    hot.write.parquet(str(tmp_path / "hot"))
+    df = spark.read.parquet(str(tmp_path / "hot"))
+    got = timeline.with_running_total(df, ["session_id"], F.lit(1), "n", run_rows=100)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
 
 
 def test_streaks_chains_and_graph(spark):
@@ -99,7 +133,7 @@ def test_correlation_ignores_the_sentinel(spark):
 
 def test_batches_spread_and_keep_order(spark, hot):
     wire = hot.withColumns({"kind": F.lit("mcp"), "wire": F.to_json(F.struct("event_id"))})
-    out = writers.batch_envelopes(wire, 50, seconds=600)
+    out = writers.batch_envelopes(wire, 50, run_rows=300)
     rows = out.orderBy("batch_no").collect()
     assert [r.n for r in rows] == [50] * 120
     ids = [e["event_id"] for r in rows for e in json.loads(r.envelope)["events"]]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tracewell.constants import REDACTED
 from tracewell.functions.variants import as_object
 from tracewell.operators.timeline import (
-    SLICE_SECONDS,
+    RUN_ROWS,
     with_group_number,
     with_latest,
     with_next,
@@ -23,6 +23,10 @@ from tracewell.operators.timeline import (
 )
 
 
+def _columns(events: DataFrame, *names: str) -> DataFrame:
+    return events.select(*dict.fromkeys(names))
+
+
 def seconds_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1e6)
 
@@ -85,10 +89,10 @@ def never_called(events: DataFrame, inventory: DataFrame) -> DataFrame:
     return declared.join(_called(events).select("mcp_server", "name"), ["mcp_server", "name"], "left_anti")
 
 
-def definition_drift(inventory: DataFrame, *, seconds: int = SLICE_SECONDS) -> DataFrame:
+def definition_drift(inventory: DataFrame, *, run_rows: int = RUN_ROWS) -> DataFrame:
     """Declarations whose definition differs from the one before."""
     keys = ["mcp_server", "item_kind", "name"]
-    rows = with_previous(inventory, keys, ["def_hash", "ts"], seconds=seconds)
+    rows = with_previous(inventory.select(*keys, "event_id", "ts", "def_hash"), keys, ["def_hash", "ts"], run_rows=run_rows)
     changed = rows.filter(F.col("prev_def_hash").isNotNull() & (F.col("prev_def_hash") != F.col("def_hash")))
     return changed.select(*keys, "event_id", "ts", "prev_ts", "prev_def_hash", "def_hash")
 
@@ -97,36 +101,37 @@ def definition_drift(inventory: DataFrame, *, seconds: int = SLICE_SECONDS) -> D
 
 
 def call_graph(events: DataFrame, keys: Sequence[str] = ("session_id",), node: str = "handler_name", *,
-               seconds: int = SLICE_SECONDS) -> DataFrame:
+               run_rows: int = RUN_ROWS) -> DataFrame:
     """Edges from one call to the next of a session, with gap statistics."""
-    rows = with_next(events, keys, [node, "ts"], seconds=seconds).filter(F.col("next_ts").isNotNull())
+    rows = with_next(_columns(events, *keys, "event_id", "ts", node), keys, [node, "ts"], run_rows=run_rows).filter(F.col("next_ts").isNotNull())
     gap = seconds_between(F.col("next_ts"), F.col("ts"))
     return rows.groupBy(F.col(node).alias("src"), F.col(f"next_{node}").alias("dst")).agg(
         F.count("*").alias("n"), F.avg(gap).alias("avg_gap_s"), F.min(gap).alias("min_gap_s"), F.max(gap).alias("max_gap_s"))
 
 
 def chain_matches(events: DataFrame, first: Column, second: Column, within_seconds: float,
-                  keys: Sequence[str] = ("session_id",), *, seconds: int = SLICE_SECONDS) -> DataFrame:
+                  keys: Sequence[str] = ("session_id",), *, run_rows: int = RUN_ROWS) -> DataFrame:
     """``second`` calls preceded by a ``first`` call of the session within the
     time, each with the latest such ``first``."""
-    rows = with_latest(events.filter(first | second), keys, first, ["event_id", "ts"], seconds=seconds)
+    rows = with_latest(events.filter(first | second), keys, first, ["event_id", "ts"], run_rows=run_rows)
     gap = seconds_between(F.col("ts"), F.col("last_ts"))
     return rows.filter(second & (gap <= within_seconds)).withColumn("gap_s", gap)
 
 
-def _runs(events: DataFrame, keys: Sequence[str], failed: Column, seconds: int) -> DataFrame:
-    """Adds ``_run``: number of non-failures up to each row, constant in a streak."""
-    return with_running_total(events, keys, F.when(failed, F.lit(0)).otherwise(F.lit(1)), "_run", seconds=seconds)
+def _runs(events: DataFrame, keys: Sequence[str], failed: Column, run_rows: int) -> DataFrame:
+    """Adds ``_streak``: number of non-failures up to each row, constant in a streak."""
+    return with_running_total(events, keys, F.when(failed, F.lit(0)).otherwise(F.lit(1)), "_streak", run_rows=run_rows)
 
 
 def repeated_failures(events: DataFrame, n: int, keys: Sequence[str] = ("session_id", "handler_name"),
-                      failed: Column | None = None, *, seconds: int = SLICE_SECONDS) -> DataFrame:
+                      failed: Column | None = None, *, run_rows: int = RUN_ROWS) -> DataFrame:
     """Streaks of at least ``n`` failures in a row per key."""
     failed = F.col("status") == "error" if failed is None else failed
-    rows = _runs(events, keys, failed, seconds).filter(failed)
-    streaks = rows.groupBy(*keys, "_run").agg(
+    narrow = events.select(*dict.fromkeys([*keys, "event_id", "ts"]), failed.alias("_failed"))
+    rows = _runs(narrow, keys, F.col("_failed"), run_rows).filter("_failed")
+    streaks = rows.groupBy(*keys, "_streak").agg(
         F.count("*").alias("failures"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-    return streaks.filter(F.col("failures") >= n).drop("_run")
+    return streaks.filter(F.col("failures") >= n).drop("_streak")
 
 
 def call_loops(events: DataFrame, n: int, within: str, keys: Sequence[str] = ("session_id", "handler_name", "args_hash")
@@ -137,10 +142,10 @@ def call_loops(events: DataFrame, n: int, within: str, keys: Sequence[str] = ("s
 
 
 def sessionize(events: DataFrame, gap_seconds: float, keys: Sequence[str] = ("user_id",), *,
-               seconds: int = SLICE_SECONDS) -> DataFrame:
+               run_rows: int = RUN_ROWS) -> DataFrame:
     """Adds ``session_no`` (from 1) per key: a new session after a quiet gap."""
     gap = F.make_dt_interval(secs=F.lit(gap_seconds))
-    return with_group_number(events, keys, gap, "session_no", seconds=seconds)
+    return with_group_number(events, keys, gap, "session_no", run_rows=run_rows)
 
 
 # --- use --------------------------------------------------------------------
@@ -196,12 +201,13 @@ def top_consumers(events: DataFrame, k: int, consumer: str = "user_id", by: Sequ
 
 
 def correlate_llm_mcp(events: DataFrame, key: str, within_seconds: float, *,
-                      seconds: int = SLICE_SECONDS) -> DataFrame:
+                      run_rows: int = RUN_ROWS) -> DataFrame:
     """Each tool call with the model call that most recently came before it for
     the same correlator within the time. Unknown and redacted correlators never
     match (all of them are equal). Trace ids do not connect the two kinds."""
     usable = events.filter(F.col("kind").isin("llm", "mcp") & F.col(key).isNotNull() & (F.col(key) != REDACTED))
-    rows = with_latest(usable, [key], F.col("kind") == "llm", ["event_id", "ts", "model"], prefix="llm_", seconds=seconds)
+    usable = _columns(usable, key, "event_id", "ts", "kind", "model", "mcp_server", "handler_name")
+    rows = with_latest(usable, [key], F.col("kind") == "llm", ["event_id", "ts", "model"], prefix="llm_", run_rows=run_rows)
     lag = seconds_between(F.col("ts"), F.col("llm_ts"))
     return rows.filter((F.col("kind") == "mcp") & (lag <= within_seconds)).select(
         F.col(key), F.col("event_id").alias("mcp_event_id"), F.col("ts").alias("mcp_ts"), "mcp_server", "handler_name",

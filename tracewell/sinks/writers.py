@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tracewell.constants import DEFAULT_BATCH_SIZE, MAX_BATCH_SIZE
 from tracewell.functions.variants import to_object, variant_map
 from tracewell.operators.sizing import wire_time
-from tracewell.operators.timeline import SLICE_SECONDS, with_running_total
+from tracewell.operators.timeline import RUN_ROWS, with_running_total
 from tracewell.plans.exports import stored
 
 ACK_SCHEMA = (
@@ -83,20 +83,20 @@ def to_wire(events: DataFrame, credentials: Mapping[str, str] | None = None, out
 
 
 def batch_numbers(events: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, keys: Sequence[str] = ("kind",), *,
-                  ts: str = "ts", tie: str = "event_id", seconds: int = SLICE_SECONDS) -> DataFrame:
+                  ts: str = "ts", tie: str = "event_id", run_rows: int = RUN_ROWS) -> DataFrame:
     """Adds ``batch_no``: the rows of each key, first come first served, in runs
     of ``batch_size``. A key of any size is spread over the cluster."""
     if not 1 <= batch_size <= MAX_BATCH_SIZE:
         raise ValueError(f"batch_size must be within 1..{MAX_BATCH_SIZE}")
-    rows = with_running_total(events, keys, F.lit(1), "_seq", ts=ts, tie=tie, seconds=seconds)
+    rows = with_running_total(events, keys, F.lit(1), "_seq", ts=ts, tie=tie, run_rows=run_rows)
     return rows.withColumn("batch_no", F.floor((F.col("_seq") - 1) / batch_size))
 
 
 def batch_envelopes(wire: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, keys: Sequence[str] = ("kind",), *,
                     ts: str = "ts", tie: str = "event_id", col: str = "wire",
-                    seconds: int = SLICE_SECONDS) -> DataFrame:
+                    run_rows: int = RUN_ROWS) -> DataFrame:
     """One row per batch: its ``{"events": [...]}`` text, size and order bounds."""
-    rows = batch_numbers(wire, batch_size, keys, ts=ts, tie=tie, seconds=seconds)
+    rows = batch_numbers(wire, batch_size, keys, ts=ts, tie=tie, run_rows=run_rows)
     # A group never holds more than batch_size rows.
     placed = F.struct(F.col("_seq"), F.col(col))
     ordered = F.array_sort(F.collect_list(placed))
