@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 
 
-#: Rows and bytes that Spark hands to Python at once: long texts come in small batches.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+#: Rows and bytes that Spark hands to Python at once: long texts come in small batches. Written
+#: tables of whole texts get small row groups, which a writing task holds in memory.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+           "parquet.block.size": str(16 << 20)}
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
