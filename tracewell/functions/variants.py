@@ -82,6 +82,29 @@ def first_text(attrs: Column, keys: Sequence[str]) -> Column:
     return as_text(first_present(attrs, keys))
 
 
+class Fields:
+    """Named entries of a map of variants, taken out of it in one go.
+
+    ``struct(attrs)`` is to be kept as a column under ``column``; ``get`` and the others read it.
+    """
+
+    def __init__(self, names: Sequence[str], column: str = "_fields"):
+        self.column, self.places = column, {name: f"f{i}" for i, name in enumerate(dict.fromkeys(names))}
+
+    def struct(self, attrs: Column) -> Column:
+        quoted = ",".join("`" + name.replace("`", "``") + "`:variant" for name in self.places)
+        found = F.try_variant_get(F.to_variant_object(attrs), "$", f"struct<{quoted}>")
+        # Names that differ by case alone would be one field to Spark: from here on they are numbered.
+        return found.cast("struct<" + ",".join(f"{place}:variant" for place in self.places.values()) + ">")
+
+    def get(self, name: str) -> Column:
+        return F.col(self.column)[self.places[name]]
+
+    def first_present(self, keys: Sequence[str]) -> Column:
+        """As the function of this name."""
+        return F.coalesce(*[present(self.get(key)) for key in keys])
+
+
 def parse_if_json(value: Column) -> Column:
     """A string that starts like an object or array is parsed; when that fails,
     and for every other value, the value itself."""

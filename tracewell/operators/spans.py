@@ -17,11 +17,10 @@ from tracewell.functions.ip import forwarded_ip
 from tracewell.functions.lets import fence
 from tracewell.functions.variants import (
     OBJECT,
+    Fields,
     as_array,
     as_object,
     as_text,
-    first_present,
-    first_text,
     is_number,
     is_string,
     parse_if_json,
@@ -152,23 +151,30 @@ def _read(spans: DataFrame, options: SpanOptions) -> DataFrame:
         "a_client": (options.client_ip_attribute,),
         **{f"a_{name}": keys for name, keys in C.TOKEN_KEYS.items()},
     }
-    params = F.coalesce(*[F.when(truthy(_attr(attrs, k)), _attr(attrs, k)) for k in C.INVOCATION_KEYS])
-    user = F.lit(None).cast("string")
-    if options.user_id_attribute:
-        user = first_text(attrs, (options.user_id_attribute,))
     handlers = {f"a_{method}": (key,) for method, _, key in C.MCP_METHODS.values()}
-    kind = F.col("kind")
-    return spans.withColumn("kind", span_kind(attrs)).select(
-        "*",
-        *[first_present(attrs, keys).alias(name) for name, keys in {**wanted, **handlers}.items()],
-        user.alias("user_id"),
+    parsed = {"a_params": (C.INVOCATION_KEYS, "llm"), "a_arguments": (C.ARGUMENT_KEYS, "mcp"), "a_tools": (C.TOOL_LIST_KEYS, "mcp")}
+    contents = {"a_input": C.INPUT_KEYS, "a_output": C.OUTPUT_KEYS} if options.capture_llm_content else {}
+    single = {f"a_{name}": C.REQUEST_PREFIX + name for name in C.REQUEST_PARAMS} | {
+        "a_request_id": C.REQUEST_ID_KEY, "a_transport": C.TRANSPORT_KEY, "a_protocol": C.PROTOCOL_KEY}
+    texts = {"a_client_name": C.CLIENT_NAME_KEY, "a_client_version": C.CLIENT_VERSION_KEY}
+    user = (options.user_id_attribute,) if options.user_id_attribute else ()
+    lists = [*wanted.values(), *handlers.values(), *(keys for keys, _ in parsed.values()), *contents.values(), user]
+    fields = Fields([*(key for keys in lists for key in keys), *single.values(), *texts.values()])
+    kind, nothing = F.col("kind"), F.lit(None).cast("variant")
+    params = F.coalesce(*[F.when(truthy(fields.get(k)), fields.get(k)) for k in C.INVOCATION_KEYS])
+    # One decode of the map; everything after it reads plain columns.
+    rows = spans.withColumns({"kind": span_kind(attrs), fields.column: fence(fields.struct(attrs))})
+    return rows.select(
+        *spans.columns, "kind",
+        *[fields.first_present(keys).alias(name) for name, keys in {**wanted, **handlers}.items()],
+        (as_text(fields.first_present(user)) if user else F.lit(None).cast("string")).alias("user_id"),
         parse_if_json(F.when(kind == "llm", params)).alias("a_params"),
-        parse_if_json(F.when(kind == "mcp", first_present(attrs, C.ARGUMENT_KEYS))).alias("a_arguments"),
-        parse_if_json(F.when(kind == "mcp", first_present(attrs, C.TOOL_LIST_KEYS))).alias("a_tools"),
-        *[parse_if_json(F.when(kind == "llm", first_present(attrs, keys)) if options.capture_llm_content
-                        else F.lit(None).cast("variant")).alias(name)
-          for name, keys in (("a_input", C.INPUT_KEYS), ("a_output", C.OUTPUT_KEYS))],
-        *[_attr(attrs, C.REQUEST_PREFIX + name).alias(f"a_{name}") for name in C.REQUEST_PARAMS],
+        *[parse_if_json(F.when(kind == of, fields.first_present(keys))).alias(name)
+          for name, (keys, of) in parsed.items() if name != "a_params"],
+        *[(parse_if_json(F.when(kind == "llm", fields.first_present(contents[name]))) if contents else nothing).alias(name)
+          for name in ("a_input", "a_output")],
+        *[F.when(~F.is_variant_null(fields.get(key)), fields.get(key)).alias(name) for name, key in single.items()],
+        *[fields.first_present((key,)).alias(name) for name, key in texts.items()],
     )
 
 
@@ -240,9 +246,6 @@ def map_spans(spans: DataFrame, options: SpanOptions = SpanOptions()) -> DataFra
     llm = F.col("kind") == "llm"
     report = F.col("tools").isNotNull()
 
-    def text(name: str) -> Column:
-        return first_present(attrs, (name,))
-
     ids = [("trace_id", F.col("trace_id")), ("span_id", F.col("span_id"))]
     stream = _attr(F.col("params"), "stream")
 
@@ -261,7 +264,7 @@ def map_spans(spans: DataFrame, options: SpanOptions = SpanOptions()) -> DataFra
         *[(name, F.when(is_number(F.col(f"p_{name}")), F.col(f"p_{name}")), False) for name in C.REQUEST_PARAMS],
         ("route_path", F.when(truthy(F.col("a_route")), F.col("a_route")), False),
     ])
-    request_id = _attr(attrs, C.REQUEST_ID_KEY)
+    request_id = F.col("a_request_id")
     event_type = F.regexp_replace("method", "^mcp_", "")
     mcp_custom = variant_map([
         ("integration", F.lit(options.integration)),
@@ -273,12 +276,12 @@ def map_spans(spans: DataFrame, options: SpanOptions = SpanOptions()) -> DataFra
         ("error", F.col("error")),
         ("result_summary", F.lit(None).cast("variant")),
         ("session_id", F.col("a_session")),
-        ("client_name", text(C.CLIENT_NAME_KEY)),
-        ("client_version", text(C.CLIENT_VERSION_KEY)),
+        ("client_name", F.col("a_client_name")),
+        ("client_version", F.col("a_client_version")),
         ("request_id", F.when(is_string(request_id), _label(as_text(request_id)).cast("variant"))
          .otherwise(request_id)),
-        ("mcp_transport", _attr(attrs, C.TRANSPORT_KEY)),
-        ("mcp_protocol_version", _attr(attrs, C.PROTOCOL_KEY)),
+        ("mcp_transport", F.col("a_transport")),
+        ("mcp_protocol_version", F.col("a_protocol")),
         *ids,
     ])
     empty = F.lit(None).cast("array<variant>")
