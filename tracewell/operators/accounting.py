@@ -15,6 +15,8 @@ from tracewell.functions.names import is_sensitive_name, name_key
 from tracewell.operators.extras import mapping_reads
 from tracewell.operators.filters import ai_verdict
 from tracewell.operators.rules import Rule
+from tracewell.operators.selection import first_of_each
+from tracewell.operators.timeline import RUN_ROWS
 
 REFUSALS = ("undecodable", "too_large")
 OUTCOMES = ("ignored", "filtered", "oversize", "queue_full", "llm", "mcp")
@@ -22,12 +24,14 @@ OUTCOMES = ("ignored", "filtered", "oversize", "queue_full", "llm", "mcp")
 
 def outcome_accounting(events: DataFrame, refused: DataFrame | None = None) -> DataFrame:
     """One row: a count per outcome and ``received``, which is their sum. With the
-    ``refused`` exports, whose spans nobody can count, also a count of exports per reason."""
+    ``refused`` exports, whose spans nobody can count, also a count of exports per reason:
+    ``unsound`` are those whose JSON is none of the format, for any of its reasons."""
     counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
     row = events.agg(*counts, F.count("*").alias("received"))
     if refused is None:
         return row
-    return row.crossJoin(refused.agg(*(F.count_if(F.col("reason") == r).alias(f"exports_{r}") for r in REFUSALS)))
+    return row.crossJoin(refused.agg(*(F.count_if(F.col("reason") == r).alias(f"exports_{r}") for r in REFUSALS),
+                                     F.count_if(~F.col("reason").isin(*REFUSALS)).alias("exports_unsound")))
 
 
 def delivery_accounting(acks: DataFrame) -> DataFrame:
@@ -45,13 +49,12 @@ def _windowed(df: DataFrame, ts: str, window: str) -> DataFrame:
 
 
 def admit_bounded(df: DataFrame, capacity: int, window: str, keys: Sequence[str] = (), *, ts: str = "ts",
-                  tie: str = "event_id") -> DataFrame:
-    """The first ``capacity`` arrivals of each key and time window; later ones are
-    dropped. The rank limit is applied before the shuffle, so a crowded window
-    sends at most ``capacity`` rows per task."""
+                  tie: str = "event_id", run_rows: int = RUN_ROWS) -> DataFrame:
+    """The first ``capacity`` arrivals of each key and time window, in (ts, tie) order; later
+    ones are dropped. However large the capacity or the crowd in one window, no task sorts more than
+    about ``run_rows`` of its rows (see ``selection``)."""
     rows = _windowed(df, ts, window)
-    order = Window.partitionBy("window_start", *keys).orderBy(ts, tie)
-    return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= capacity).drop("_rank")
+    return first_of_each(rows, capacity, ["window_start", *keys], [F.col(ts), F.col(tie)], run_rows=run_rows)
 
 
 def admission_report(df: DataFrame, capacity: int, window: str, keys: Sequence[str] = (), *,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tracewell.constants import REDACTED
 from tracewell.functions.variants import as_object
+from tracewell.operators.selection import first_of_each
 from tracewell.operators.timeline import (
     RUN_ROWS,
     with_group_number,
@@ -181,9 +182,14 @@ def user_activity_baseline(events: DataFrame, user: str = "user_id") -> DataFram
         "z_score", F.when(F.col("stddev_calls") > 0, (F.col("calls") - F.col("mean_calls")) / F.col("stddev_calls")))
 
 
+#: Ranks up to which Spark keeps only the first rows of each task.
+SMALL_RANK = 1000
+
+
 def top_consumers(events: DataFrame, k: int, consumer: str = "user_id", by: Sequence[str] = (), *,
-                  tokens: str = "tokens_total") -> DataFrame:
-    """The ``k`` consumers with most tokens, overall or per group; ties by name."""
+                  tokens: str = "tokens_total", run_rows: int = RUN_ROWS) -> DataFrame:
+    """The ``k`` consumers with most tokens, overall or per group; ties by name. For more than
+    SMALL_RANK of a group the last one is looked for first (see ``selection``): only those taken are ranked."""
     used = events.groupBy(*by, consumer).agg(
         F.count("*").alias("calls"),
         F.count_if(F.col("status") == "error").alias("errors"),
@@ -192,6 +198,9 @@ def top_consumers(events: DataFrame, k: int, consumer: str = "user_id", by: Sequ
     order = [F.col("tokens").desc(), F.col(consumer)]
     if not by:
         return used.orderBy(*order).limit(k)
+    if k > SMALL_RANK:
+        taken = first_of_each(used, k, by, [F.col("tokens").isNull(), -F.col("tokens"), F.col(consumer)], run_rows=run_rows)
+        return taken.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     # Spark limits each task to k rows per group before the shuffle.
     ranked = used.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     return ranked.filter(F.col("rank") <= k)

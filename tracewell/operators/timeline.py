@@ -44,10 +44,15 @@ def _earlier() -> WindowSpec:
     return _runs().rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _bounds(df: DataFrame, keys: Sequence[str], ts: str, tie: str, run_rows: int) -> DataFrame | None:
-    """(_key, _bounds) of the keys that are cut, null when there are none. ``_bounds``
-    are (time, tie) places in groups of about the square root of their number."""
-    placed = df.select(F.struct(*keys).alias("_key"), F.struct(F.col(ts).alias("at"), F.col(tie).alias("tie")).alias("_place"))
+def place_of(*order: Column) -> Column:
+    """What rows of a key are ordered by: nulls come first."""
+    return F.struct(*(c.alias(f"p{i}") for i, c in enumerate(order)))
+
+
+def bounds_of(placed: DataFrame, run_rows: int) -> DataFrame | None:
+    """(_key, _bounds, _width) of the keys of ``placed`` (_key, _place) with more than
+    ``run_rows`` rows, null when there are none. ``_bounds`` are places in groups of
+    about the square root of their number."""
     counts = placed.groupBy("_key").agg(F.count("*").alias("n"))
     total, most = counts.agg(F.sum("n"), F.max("n")).first()
     limit = max(run_rows, math.ceil((total or 0) / MOST_RUNS))
@@ -61,11 +66,15 @@ def _bounds(df: DataFrame, keys: Sequence[str], ts: str, tie: str, run_rows: int
     sampled = sampled.select("_key", picked.alias("b")).filter("size(b) > 0")
     width = F.ceil(F.sqrt(F.size("b"))).cast("int")
     grouped = F.transform(F.sequence(F.lit(0), F.floor((F.size("b") - 1) / width).cast("int")), lambda g: F.slice("b", g * width + 1, width))
-    found = sampled.select("_key", grouped.alias("_bounds"), width.alias("_width"))
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+    return local(sampled.select("_key", grouped.alias("_bounds"), width.alias("_width")))
+
+
+def local(small: DataFrame) -> DataFrame:
+    """A table of at most about MOST_RUNS rows, computed now."""
+    return small.sparkSession.createDataFrame(small.collect(), small.schema)
 
 
-def _run_of(place: Column) -> Column:
+def run_of(place: Column) -> Column:
     """How many of the key's bounds are not after ``place``: first among the groups'
     first bounds, then inside the last group that begins before it."""
     def reached(bounds: Column) -> Column:
@@ -80,14 +89,14 @@ class _Timeline:
 
     def __init__(self, df: DataFrame, keys: Sequence[str], ts: str, tie: str, run_rows: int):
         # A struct compares equal to itself even when members are null.
-        bounds = _bounds(df, keys, ts, tie, run_rows)
+        place = place_of(F.col(ts), F.col(tie))
+        bounds = bounds_of(df.select(F.struct(*keys).alias("_key"), place.alias("_place")), run_rows)
         self.columns, self.cut = df.columns, bounds is not None
         rows = df.withColumn("_key", F.struct(*keys))
         if not self.cut:
             self.rows = rows.withColumn("_run", F.lit(0))
             return
-        place = F.struct(F.col(ts).alias("at"), F.col(tie).alias("tie"))
-        run = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(_run_of(place))
+        run = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(run_of(place))
         marked = rows.join(F.broadcast(bounds), "_key", "left").withColumn("_run", run)
         # One column holds the row, so that both readers of the exchange want the same columns of it.
         row = F.struct(*df.columns, F.col("_bounds").isNotNull().alias("_cut"))

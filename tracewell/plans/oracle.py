@@ -280,7 +280,8 @@ _sql("refused_accounting", f"""
     0::BIGINT AS oversize, 0::BIGINT AS queue_full, count(*) FILTER (outcome = 'llm') AS llm,
     count(*) FILTER (outcome = 'mcp') AS mcp, count(*) AS received,
     (SELECT count(*) FROM events WHERE {K} % 7 = 0) AS exports_undecodable,
-    (SELECT count(*) FROM events WHERE {K} % 7 = 1 AND event_id % 50 = 0) AS exports_too_large FROM spans""", SPANS)
+    (SELECT count(*) FROM events WHERE {K} % 7 = 1 AND event_id % 50 = 0) AS exports_too_large,
+    0::BIGINT AS exports_unsound FROM spans""", SPANS)
 WORDS = r"regexp_replace(lower(regexp_replace(regexp_replace(name, '([a-z0-9])([A-Z])', '\1_\2', 'g'), '([A-Z])([A-Z][a-z])', '\1_\2', 'g')), '[^a-z0-9]+', '_', 'g')"
 RISKY = "(^|_)(password|passwd|secret|token|api_key|apikey|api_secret|access_token|refresh_token|authorization|auth|" \
     "credential|credentials|private_key|ssh_key|session_id|session_token|cookie|credit_card|card_number|cvv|ssn)(_|$)"
@@ -409,6 +410,8 @@ _sql("order_volume", """
 _sql("admit_bounded", """
   SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY date_trunc('hour', ts), mcp_server
     ORDER BY ts, event_id) AS r FROM calls) WHERE r <= 3""", CALLS)
+_sql("admit_bounded_large", """
+  SELECT row FROM (SELECT l_orderkey * 8 + l_linenumber AS row FROM lineitem ORDER BY l_shipdate, row LIMIT 10000)""")
 _sql("admission_report", """
   SELECT epoch_us(date_trunc('day', ts)) AS window_us, mcp_server, least(count(*), 3)::BIGINT AS admitted,
     greatest(count(*) - 3, 0)::BIGINT AS dropped FROM calls GROUP BY 1, 2""", CALLS)

@@ -627,6 +627,14 @@ def admit_bounded(spark, sf_dir):
     return accounting.admit_bounded(S.calls(spark, sf_dir), 3, "1 hour", ("mcp_server",)).select("event_id")
 
 
+@query
+def admit_bounded_large(spark, sf_dir):
+    """One crowd of all rows, of which 10,000 are let in."""
+    arrivals = S.table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("timestamp").alias("ts"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row"))
+    return accounting.admit_bounded(arrivals, 10_000, "36500 days", tie="row", run_rows=5000).select("row")
+
+
 @query
 def admission_report(spark, sf_dir):
     out = accounting.admission_report(S.calls(spark, sf_dir), 3, "1 day", ("mcp_server",))
