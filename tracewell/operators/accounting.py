@@ -6,7 +6,7 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,15 +19,25 @@ from tracewell.operators.selection import first_of_each
 from tracewell.operators.timeline import RUN_ROWS
 
 REFUSALS = ("undecodable", "too_large")
-OUTCOMES = ("ignored", "filtered", "oversize", "queue_full", "llm", "mcp")
+OUTCOMES = ("ignored", "filtered", "oversize", "queue_full", "health", "path", "unsampled", "llm", "mcp", "http")
+
+
+def _outcome_counts() -> list[Column]:
+    return [*(F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES), F.count("*").alias("received")]
+
+
+def observed(events: DataFrame, name: str = "outcomes") -> tuple[DataFrame, Observation]:
+    """``events``, whose outcomes are counted in whatever single pass reads them, and the
+    observation that has the counts afterwards (``.get``): no second mapping for the account."""
+    observation = Observation(name)
+    return events.observe(observation, *_outcome_counts()), observation
 
 
 def outcome_accounting(events: DataFrame, refused: DataFrame | None = None) -> DataFrame:
     """One row: a count per outcome and ``received``, which is their sum. With the
     ``refused`` exports, whose spans nobody can count, also a count of exports per reason:
     ``unsound`` are those whose JSON is none of the format, for any of its reasons."""
-    counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
-    row = events.agg(*counts, F.count("*").alias("received"))
+    row = events.agg(*_outcome_counts())
     if refused is None:
         return row
     return row.crossJoin(refused.agg(*(F.count_if(F.col("reason") == r).alias(f"exports_{r}") for r in REFUSALS),

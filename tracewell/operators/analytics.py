@@ -22,6 +22,7 @@ from tracewell.operators.timeline import (
     with_previous,
     with_running_total,
 )
+from tracewell.session import stored_once
 
 
 def _columns(events: DataFrame, *names: str) -> DataFrame:
@@ -36,11 +37,11 @@ def seconds_between(later: Column, earlier: Column) -> Column:
 
 
 def endpoint_inventory(events: DataFrame, keys: Sequence[str] = ("kind", "endpoint", "method"), *,
-                       exact: bool = False) -> DataFrame:
+                       exact: bool = False, run_rows: int = RUN_ROWS) -> DataFrame:
     """Calls, errors, durations and first/last sight per endpoint.
 
-    The 95th percentile is approximate; with ``exact`` it is that of all durations,
-    which keeps the count of every distinct duration of an endpoint.
+    The 95th percentile is approximate; with ``exact`` it is that of all durations, from
+    running totals over their distinct values: no state grows with these.
     """
     facts = [
         F.count("*").alias("calls"),
@@ -51,18 +52,45 @@ def endpoint_inventory(events: DataFrame, keys: Sequence[str] = ("kind", "endpoi
     ]
     if not exact:
         return events.groupBy(*keys).agg(*facts, F.percentile_approx("duration_ms", 0.95, 10000).alias("p95_duration_ms"))
-    binned = events.groupBy(*keys, "duration_ms").agg(
+    binned = stored_once(events.groupBy(*keys, "duration_ms").agg(
         F.count("*").alias("_n"), F.count_if(F.col("status") == "error").alias("_e"),
-        F.sum("duration_ms").alias("_s"), F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
+        F.sum("duration_ms").alias("_s"), F.min("ts").alias("_lo"), F.max("ts").alias("_hi")), "durations")
     timed = F.when(F.col("duration_ms").isNotNull(), F.col("_n"))
-    return binned.groupBy(*keys).agg(
+    whole = binned.groupBy(F.struct(*keys).alias("_group")).agg(
         F.sum("_n").alias("calls"),
         F.sum("_e").alias("errors"),
         (F.sum("_s") / F.sum(timed)).alias("avg_duration_ms"),
         F.min("_lo").alias("first_seen"),
         F.max("_hi").alias("last_seen"),
-        F.percentile("duration_ms", 0.95, F.col("_n")).alias("p95_duration_ms"),
     )
+    found = exact_percentile(binned, keys, "duration_ms", 0.95, "p95_duration_ms", weight=F.col("_n"), run_rows=run_rows)
+    return whole.join(found.select(F.struct(*keys).alias("_group"), "p95_duration_ms"), "_group", "left").select("_group.*", *(
+        c for c in [*whole.columns, "p95_duration_ms"] if c != "_group"))
+
+
+def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, fraction: float, out: str, *, weight: Column | None = None,
+                     run_rows: int = RUN_ROWS) -> DataFrame:
+    """(keys, ``out``): the value at ``fraction`` of each group's values, between neighbours
+    by linear interpolation. A row stands for ``weight`` rows, or for itself. Groups without a
+    value are left out; NaN is the largest. ``df`` is read more than once.
+
+    Values are counted first. Of the counts' running totals, which a group of any size has
+    in runs (see ``timeline``), the first that passes a rank gives the value of that rank.
+    """
+    times = F.count("*") if weight is None else F.sum(weight)
+    binned = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(times.alias("_n"))
+    counted = with_running_total(binned, keys, F.col("_n"), "_upto", ts=value, tie=value, run_rows=run_rows)
+    group = F.struct(*keys).alias("_group")
+    totals = binned.groupBy(group).agg((F.lit(float(fraction)) * (F.sum("_n") - 1)).alias("_place"))
+    ranked = counted.withColumn("_group", group).join(totals, "_group")
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("_upto") > rank, F.col(value)))
+
+    ends = ranked.groupBy("_group", "_place").agg(at(F.floor("_place")).alias("_low"), at(F.ceil("_place")).alias("_high"))
+    share = F.col("_place") - F.floor("_place")
+    between = F.when(share == 0, F.col("_low")).otherwise((1 - share) * F.col("_low") + share * F.col("_high"))
+    return ends.select("_group.*", between.cast("double").alias(out))
 
 
 def observed_arguments(events: DataFrame, keys: Sequence[str] = ("kind", "endpoint"), body: str = "body") -> DataFrame:

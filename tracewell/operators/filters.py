@@ -45,13 +45,17 @@ def split_health_segment(df: DataFrame, col: str = "endpoint", *, exempt_ai_sche
     return df.withColumn("ingest", F.when(skipped, F.lit("skipped")).otherwise(F.lit("accepted")))
 
 
+def path_wanted(endpoint: Column, capture: Sequence[str] = (), exclude: Sequence[str] = ()) -> Column:
+    """Whether a path matches a ``capture`` glob (any path when there is none) and no
+    ``exclude`` glob. Invalid globs raise ValueError here, not at run time."""
+    wanted = matches_any(endpoint, capture) if capture else F.lit(True)
+    return wanted & ~matches_any(endpoint, exclude) if exclude else wanted
+
+
 def filter_paths(df: DataFrame, capture: Sequence[str] = (), exclude: Sequence[str] = (),
                  col: str = "endpoint") -> DataFrame:
-    """Keep paths that match a ``capture`` glob (all when there is none) and no
-    ``exclude`` glob. Invalid globs raise ValueError here, not at run time."""
-    if exclude:
-        df = df.filter(~matches_any(F.col(col), exclude))
-    return df.filter(matches_any(F.col(col), capture)) if capture else df
+    """Keep the paths that are wanted."""
+    return df.filter(path_wanted(F.col(col), capture, exclude)) if capture or exclude else df
 
 
 def sample_rate(rate: float) -> float:
@@ -59,21 +63,24 @@ def sample_rate(rate: float) -> float:
     return 1.0 if math.isnan(rate) else min(1.0, max(0.0, rate))
 
 
+def in_sample(rate: float, key: str | None = None, seed: int | None = None) -> Column:
+    """True with probability ``rate``: see ``sample_requests``."""
+    rate = sample_rate(rate)
+    if rate in (0.0, 1.0):
+        return F.lit(rate == 1.0)
+    if key is None:
+        return F.rand(seed) < rate
+    point = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("double")
+    return point / F.lit(4294967296.0) < rate
+
+
 def sample_requests(df: DataFrame, rate: float, key: str | None = None, seed: int | None = None) -> DataFrame:
     """Keep each row with probability ``rate``.
 
     With ``key`` the choice is a function of that column, so it is the same in
     every run and for every row of one key; without, each row is drawn freshly.
     """
-    rate = sample_rate(rate)
-    if rate == 1.0:
-        return df
-    if rate == 0.0:
-        return df.filter(F.lit(False))
-    if key is None:
-        return df.filter(F.rand(seed) < rate)
-    point = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("double")
-    return df.filter(point / F.lit(4294967296.0) < rate)
+    return df if sample_rate(rate) == 1.0 else df.filter(in_sample(rate, key, seed))
 
 
 # --- bodies -----------------------------------------------------------------

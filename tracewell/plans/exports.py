@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewell import constants as C
 from tracewell.functions.jsonwalk import Walk, rewrite
@@ -53,6 +56,8 @@ def finalize_events(mapped: DataFrame, options: SpanOptions = SpanOptions(),
         "custom_data": to_object(F.map_concat(
             F.coalesce(F.col("extras"), F.create_map().cast(OBJECT)), replaced)),
         "_extra_keys": F.map_keys("extras"),
+        # Of the scrubbed arguments, whose keys are in order.
+        "args_hash": F.when(called, F.sha2(F.to_json(arguments), 256)),
     })
     sized = enforce_event_size(rows, max_bytes, measure=measure, extra_keys="_extra_keys")
     event = F.col("outcome").isin("llm", "mcp")
@@ -69,6 +74,25 @@ def span_events(spans: DataFrame, options: SpanOptions = SpanOptions(), max_byte
     return finalize_events(map_spans(spans, options), options, max_bytes, measure=measure)
 
 
+#: The event table: what ``event_table`` makes of events of any source.
+EVENT_SCHEMA = (
+    "event_id STRING, kind STRING, outcome STRING, ts TIMESTAMP, remote_addr STRING, endpoint STRING, scheme STRING, method STRING,"
+    " headers MAP<STRING, STRING>, query_params MAP<STRING, ARRAY<STRING>>, body VARIANT, response_body VARIANT, user_agent STRING,"
+    " user_id STRING, provider STRING, model STRING, mcp_server STRING, handler_name STRING, event_type STRING, session_id STRING,"
+    " args_hash STRING, duration_ms DOUBLE, status STRING, error STRING, tokens_prompt BIGINT, tokens_completion BIGINT,"
+    " tokens_total BIGINT, trace_id STRING, span_id STRING, custom_data VARIANT"
+)
+
+
+def event_table(*sources: DataFrame) -> DataFrame:
+    """Events of several sources (requests, spans) as one table of EVENT_SCHEMA. What a source
+    does not have is null; columns beyond the schema are left out."""
+    fields = T.StructType.fromDDL(EVENT_SCHEMA)
+    parts = [df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields))
+             for df in sources]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def stored(events: DataFrame) -> DataFrame:
     """The rows that are events, without what was ignored, filtered or oversize."""
     return events.filter(F.col("outcome").isin("llm", "mcp", "http"))

@@ -44,7 +44,8 @@ KEPT = "kept AS (SELECT * FROM requests WHERE NOT starts_with(endpoint, '/de/'))
 BODY = "method = 'POST' AND page_id % 3 = 0"
 
 _sql("http_inventory", """
-  SELECT 'http' AS kind, endpoint, method, count(*) AS calls, 0::BIGINT AS errors, min(ts_us) AS first_us, max(ts_us) AS last_us
+  SELECT 'http' AS kind, endpoint, method, count(*) AS calls, count(*) FILTER (page_id % 9 = 0) AS errors, min(ts_us) AS first_us,
+    max(ts_us) AS last_us, round(quantile_cont((page_id % 40 + 0.5)::DOUBLE, 0.95), 6) AS p95_duration_ms
   FROM kept GROUP BY endpoint, method""", REQUESTS, KEPT)
 _sql("http_event_fields", f"""
   SELECT page_id, ts_us, {_hmac("'10.1.0.' || (page_id % 250)")} AS remote_addr, endpoint, scheme, method,
@@ -273,11 +274,24 @@ _sql("finalize_events", f"""
   FROM spans WHERE outcome IN ('llm', 'mcp')""", SPANS)
 _sql("outcome_accounting", """
   SELECT count(*) FILTER (outcome = 'ignored') AS ignored, count(*) FILTER (outcome = 'filtered') AS filtered,
-    0::BIGINT AS oversize, 0::BIGINT AS queue_full, count(*) FILTER (outcome = 'llm') AS llm,
+    0::BIGINT AS oversize, 0::BIGINT AS queue_full, 0::BIGINT AS health, 0::BIGINT AS path, 0::BIGINT AS unsampled,
+    0::BIGINT AS http, count(*) FILTER (outcome = 'llm') AS llm,
     count(*) FILTER (outcome = 'mcp') AS mcp, count(*) AS received FROM spans""", SPANS)
+_sql("stored_accounting", """
+  SELECT outcome, coalesce(n, 0) AS counted, CASE WHEN outcome IN ('llm', 'mcp', 'http') THEN coalesce(n, 0) ELSE 0 END AS stored
+  FROM (VALUES ('ignored'), ('filtered'), ('oversize'), ('queue_full'), ('health'), ('path'), ('unsampled'), ('llm'), ('mcp'), ('http'))
+    AS o(outcome) LEFT JOIN (
+      SELECT outcome, count(*) AS n FROM spans GROUP BY 1
+      UNION ALL SELECT CASE WHEN starts_with(endpoint, '/de/') THEN 'path' ELSE 'http' END, count(*) FROM requests GROUP BY 1) USING (outcome)""",
+     SPANS, REQUESTS)
+_sql("repeated_arguments", """
+  SELECT epoch_us(date_trunc('day', ts)) AS window_us, 'tool-' || (k % 4) AS handler_name,
+    sha256('{"item":' || k || ',"token":"[REDACTED]"}') AS args_hash, count(*) AS calls
+  FROM spans WHERE event_type = 'purchase' GROUP BY 1, 2, 3""", SPANS)
 _sql("refused_accounting", f"""
   SELECT count(*) FILTER (outcome = 'ignored') AS ignored, count(*) FILTER (outcome = 'filtered') AS filtered,
-    0::BIGINT AS oversize, 0::BIGINT AS queue_full, count(*) FILTER (outcome = 'llm') AS llm,
+    0::BIGINT AS oversize, 0::BIGINT AS queue_full, 0::BIGINT AS health, 0::BIGINT AS path, 0::BIGINT AS unsampled,
+    0::BIGINT AS http, count(*) FILTER (outcome = 'llm') AS llm,
     count(*) FILTER (outcome = 'mcp') AS mcp, count(*) AS received,
     (SELECT count(*) FROM events WHERE {K} % 7 = 0) AS exports_undecodable,
     (SELECT count(*) FROM events WHERE {K} % 7 = 1 AND event_id % 50 = 0) AS exports_too_large,

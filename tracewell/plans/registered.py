@@ -14,7 +14,7 @@ from tracewell.operators.messages import rebuild_messages
 from tracewell.operators.rules import Rule
 from tracewell.operators.sizing import custom_object, enforce_event_size
 from tracewell.plans import sample_tables as S
-from tracewell.plans.exports import span_events, stored
+from tracewell.plans.exports import event_table, span_events, stored
 from tracewell.session import checkpoint_location
 from tracewell.sinks import writers
 from tracewell.sources import http, mcp, otlp
@@ -52,10 +52,9 @@ def jtext(path: str, col: str = "body"):
 @query
 def http_inventory(spark, sf_dir):
     events = http.http_events(S.requests(spark, sf_dir), REQUEST_OPTIONS)
-    events = events.withColumns({"status": F.lit("ok"), "duration_ms": F.lit(1.0)})
     out = analytics.endpoint_inventory(events, exact=True)
     return out.select("kind", "endpoint", "method", "calls", "errors", us("first_seen").alias("first_us"),
-                      us("last_seen").alias("last_us"))
+                      us("last_seen").alias("last_us"), F.round("p95_duration_ms", 6).alias("p95_duration_ms"))
 
 
 @query
@@ -448,6 +447,26 @@ def outcome_accounting(spark, sf_dir):
     return accounting.outcome_accounting(span_events(S.spans(spark, sf_dir), SPAN_OPTIONS))
 
 
+@query
+def stored_accounting(spark, sf_dir):
+    """Requests and spans as one event table, written once, and what became of all of them."""
+    requests = http.http_events(S.requests(spark, sf_dir), REQUEST_OPTIONS, dropped=True)
+    path = checkpoint_location(spark, "events")
+    counts = writers.write_counted(event_table(span_events(S.spans(spark, sf_dir), SPAN_OPTIONS), requests), path)
+    assert counts.pop("received") == sum(counts.values())
+    kept = spark.read.parquet(path).groupBy(F.col("kind").alias("outcome")).agg(F.count("*").alias("stored"))
+    return spark.createDataFrame(list(counts.items()), "outcome string, counted bigint").join(kept, "outcome", "left").select(
+        "outcome", "counted", F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
+@query
+def repeated_arguments(spark, sf_dir):
+    """Tool calls of one session with the same arguments within a day."""
+    rows = stored(span_events(S.spans(spark, sf_dir), SPAN_OPTIONS)).filter("method = 'mcp_tool_call'")
+    out = analytics.call_loops(rows, 1, "1 day", ("handler_name", "args_hash"))
+    return out.select(us("window_start").alias("window_us"), "handler_name", "args_hash", "calls")
+
+
 @query
 def refused_accounting(spark, sf_dir):
     """Outcomes of exports of which some cannot be decoded or are too large."""

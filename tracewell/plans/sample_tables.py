@@ -136,6 +136,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("application/json").alias("response_type"),
         F.when(page % 7 == 0, "GZIP").alias("response_encoding"),
         F.lit(None).cast("string").alias("metrics"),
+        F.when(page % 9 == 0, 500).when(page % 9 < 8, 200).alias("response_status"),
+        (page % 40 + 0.5).cast("double").alias("duration_ms"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Repeated JSON keys and repeated attribute keys resolve to the last value, and
 # timestamps are UTC everywhere.
@@ -31,4 +31,12 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
         import uuid
 
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    return f"{tempfile.mkdtemp(prefix=name)}/{name}"
+
+
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written now to the folder of ``checkpoint_location`` and read back: what is
+    read of it more than once is computed once, also when an executor is lost."""
+    path = checkpoint_location(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tracewell.constants import DEFAULT_BATCH_SIZE, MAX_BATCH_SIZE
 from tracewell.functions.variants import to_object, variant_map
+from tracewell.operators.accounting import observed
 from tracewell.operators.sizing import wire_time
 from tracewell.operators.timeline import RUN_ROWS, with_running_total
 from tracewell.plans.exports import stored
@@ -42,6 +43,14 @@ def write_events(events: DataFrame, path: str, *, checkpoint: str | None = None,
             .trigger(**(trigger or {"processingTime": "2 seconds"})).start(path))
 
 
+def write_counted(events: DataFrame, path: str, *, mode: str = "append", spread: int | None = None) -> dict[str, int]:
+    """``write_events`` for a batch, and the account of its outcomes from the same pass:
+    a count of each, stored or not, and ``received``, which is their sum."""
+    counted, account = observed(events)
+    write_events(counted, path, mode=mode, spread=spread)
+    return dict(account.get)
+
+
 def _wire_params() -> Column:
     return F.transform_values("query_params", lambda k, vs: F.when(
         F.size(vs) == 1, F.get(vs, F.lit(0)).cast("variant")).otherwise(F.to_variant_object(vs)))

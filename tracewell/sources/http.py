@@ -8,16 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewell.constants import HEALTH_PATHS
 from tracewell.functions.ip import forwarded_ip
 from tracewell.functions.jsonwalk import Walk, rewrite
 from tracewell.functions.variants import as_object
 from tracewell.operators.filters import (
-    drop_health_exact,
-    filter_paths,
+    in_sample,
     is_json_type,
     is_llm_path,
+    path_wanted,
     response_body_eligible,
-    sample_requests,
     withhold_ai_bodies,
 )
 from tracewell.operators.privacy import address_pseudonym, head_tail_body
@@ -28,7 +28,8 @@ from tracewell.session import prepare_session
 REQUEST_SCHEMA = (
     "event_id STRING, ts TIMESTAMP, method STRING, scheme STRING, path STRING,"
     " headers ARRAY<STRUCT<name: STRING, value: STRING>>, body STRING, source_address STRING,"
-    " response_body STRING, response_type STRING, response_encoding STRING, metrics STRING"
+    " response_body STRING, response_type STRING, response_encoding STRING, metrics STRING,"
+    " response_status INT, duration_ms DOUBLE"
 )
 
 
@@ -69,16 +70,37 @@ def header(name: str) -> Column:
     return F.get(hits, F.lit(0))["value"]
 
 
-def http_events(requests: DataFrame, options: RequestOptions = RequestOptions()) -> DataFrame:
+def request_fates(requests: DataFrame, options: RequestOptions = RequestOptions()) -> DataFrame:
+    """Adds ``endpoint``, ``_query`` and ``outcome``: ``http`` for requests that become events, else
+    the first reason why not (``health``, ``path`` or ``unsampled``)."""
+    endpoint, query = split_path(F.col("path"))
+    rows = requests.withColumns({"endpoint": endpoint, "_query": query})
+    fate = (
+        F.when(F.col("endpoint").isin(*HEALTH_PATHS), "health")
+        .when(~path_wanted(F.col("endpoint"), options.capture_paths, options.exclude_paths), "path")
+        .when(~in_sample(options.rate, options.sample_key), "unsampled")
+        .when(F.col("endpoint").isNotNull(), "http").otherwise("path")
+    )
+    return rows.withColumn("outcome", fate)
+
+
+#: What is read of a request only when it becomes an event.
+_CONTENT = ("headers", "body", "source_address", "response_body", "metrics", "_query", "response_status", "duration_ms")
+
+
+def http_events(requests: DataFrame, options: RequestOptions = RequestOptions(), *, dropped: bool = False) -> DataFrame:
     """Raw requests -> scrubbed events; narrow, and cheap tests come first.
 
     Health checks, unwanted paths and unsampled requests are gone before any
-    header, query or body is looked at.
+    header, query or body is looked at. With ``dropped`` they stay as rows without content
+    whose ``outcome`` is the reason, to be counted in the pass that stores the events.
+    ``status`` is ``error`` for response codes from 400 on, null where the log has none.
     """
-    endpoint, query = split_path(F.col("path"))
-    rows = drop_health_exact(requests.withColumns({"endpoint": endpoint, "_query": query}))
-    rows = filter_paths(rows, options.capture_paths, options.exclude_paths)
-    rows = sample_requests(rows, options.rate, options.sample_key)
+    rows = requests.withColumns({c: F.lit(None).cast(t) for c, t in (("response_status", "int"), ("duration_ms", "double"))
+                                 if c not in requests.columns})
+    rows = request_fates(rows, options)
+    kept = F.col("outcome") == "http"
+    rows = rows.withColumns({c: F.when(kept, F.col(c)) for c in _CONTENT if c in rows.columns}) if dropped else rows.filter(kept)
 
     method = F.upper("method")
     client = forwarded_ip(header(options.client_ip_header), F.col("source_address"))
@@ -104,7 +126,7 @@ def http_events(requests: DataFrame, options: RequestOptions = RequestOptions())
     return rows.select(
         "event_id",
         F.lit("http").alias("kind"),
-        F.lit("http").alias("outcome"),
+        "outcome",
         "ts",
         address_pseudonym(client, options.secret, empty=None, limit=None).alias("remote_addr"),
         "endpoint",
@@ -116,6 +138,8 @@ def http_events(requests: DataFrame, options: RequestOptions = RequestOptions())
         "response_body",
         header("user-agent").alias("user_agent"),
         user.alias("user_id"),
+        F.when(F.col("response_status") >= 400, "error").when(F.col("response_status").isNotNull(), "ok").alias("status"),
+        "duration_ms",
         F.when(as_object(metrics).isNotNull(), rewrite(F.col("metrics"), Walk())).alias("custom_data"),
     )
 
