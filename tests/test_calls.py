@@ -142,6 +142,29 @@ def test_batches_spread_and_keep_order(spark, hot):
         writers.batch_envelopes(wire, 1001)
 
 
+def test_batches_are_posted_once(spark, tmp_path):
+    posted, acks = tmp_path / "posted", str(tmp_path / "acks")
+    posted.mkdir()
+    df = spark.createDataFrame([(f"b{i}", 1, f"e{i}") for i in range(12)], "batch_id string, n bigint, envelope string").repartition(4)
+
+    def post(envelope, broken=()):
+        if envelope in broken:
+            raise KeyboardInterrupt  # the worker dies, not only this post
+        with open(posted / envelope, "a") as out:
+            out.write("x")
+        return 200, "{}"
+
+    with pytest.raises(Exception):
+        writers.deliver_once(df, lambda e: post(e, ("e7",)), acks).collect()
+    done = writers.deliver_once(df, post, acks)
+    assert sorted(r["batch_id"] for r in done.collect()) == sorted(f"b{i}" for i in range(12)) and done.count() == 12
+    before = {p.name: p.read_text() for p in posted.iterdir()}
+    assert len(before) == 12 and before["e7"] == "x"
+    again = writers.deliver_once(df.union(spark.createDataFrame([("b12", 1, "e12")], df.schema)), post, acks)
+    assert again.count() == 13 and again.count() == 13
+    assert {p.name: p.read_text() for p in posted.iterdir()} == {**before, "e12": "x"}
+
+
 def test_delivery(spark):
     df = spark.createDataFrame([(str(i), 2, f'{{"i":{i}}}') for i in range(5)], "batch_id string, n bigint, envelope string")
 

@@ -448,6 +448,8 @@ _sql("delivery_accounting", """
   SELECT sum(CASE WHEN status = 'ok' THEN 50 ELSE 0 END)::BIGINT AS posted, count(*) FILTER (status <> 'ok') AS post_failures,
     sum(CASE WHEN status = 'ok' THEN k ELSE 0 END)::BIGINT AS accepted,
     sum(CASE WHEN status = 'ok' THEN 100 - k ELSE 0 END)::BIGINT AS skipped FROM calls""", CALLS)
+_sql("deliver_once", """
+  SELECT count(*) AS posted, 0::BIGINT AS post_failures, count(*) AS accepted, 0::BIGINT AS skipped FROM events""")
 _sql("deliver_batches", """
   SELECT count(*) AS posted, 0::BIGINT AS post_failures, count(*) AS accepted, 0::BIGINT AS skipped FROM events""")
 _sql("windowed_tokens", """

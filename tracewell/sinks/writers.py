@@ -144,6 +144,19 @@ def deliver(envelopes: DataFrame, post: Callable[[str], tuple[int, str]]) -> Dat
     return envelopes.select("batch_id", "n", "envelope").mapInPandas(send, ACK_SCHEMA)
 
 
+def deliver_once(envelopes: DataFrame, post: Callable[[str], tuple[int, str]], acks_path: str) -> DataFrame:
+    """Posts the envelopes that the table of acknowledgements does not know, adds theirs to
+    it, and returns it. Calling this again, or reading the result often, posts nothing twice: an
+    acknowledged batch is done, delivered or not. After a failed job only what its lost tasks had
+    posted without an acknowledgement goes out again, under the same ids."""
+    spark = envelopes.sparkSession
+    spark.createDataFrame([], ACK_SCHEMA).write.mode("append").parquet(acks_path)
+    acks = spark.read.schema(ACK_SCHEMA)
+    pending = envelopes.join(acks.parquet(acks_path).select("batch_id"), "batch_id", "left_anti")
+    deliver(pending, post).write.mode("append").parquet(acks_path)
+    return acks.parquet(acks_path)
+
+
 def counters(text: str) -> tuple[int, int]:
     """(accepted, skipped) of a response; anything unreadable counts as zero."""
     try:
