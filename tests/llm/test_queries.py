@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, con, sf_dir, name):
     assert n > 0
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11))
+    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14))

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and SQL for those that SQL can express."""
+"""The registered queries of the operators, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -211,6 +211,58 @@ ORACLE = {
                        FROM scores WHERE n_words >= 20)
         SELECT s.doc_id, n_features, weight, score, rank
         FROM scores s LEFT JOIN (SELECT * FROM ranks WHERE rank <= 10 * n // 100) r ON r.doc_id = s.doc_id""",
+    # Trees line by line; likeness level by level, from counts of equal tokens; edits as runs of lines.
+    "op12_document_fingerprints": f"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+             linked AS (SELECT doc_id, text, coalesce(lead(text) OVER o, first_value(text) OVER o) AS next_text,
+                               coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id
+                        FROM docs WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, sha256(coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || text))),
+             edited AS (SELECT *, left(text, length(text) - length(text) // 3) || left(next_text, length(text) // 3) AS edited FROM linked),
+             texts AS (SELECT row_number() OVER () AS t, text FROM (SELECT text FROM edited UNION SELECT edited FROM edited)),
+             lines AS (SELECT t, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM texts),
+             hashed AS (SELECT t, i, sha256(line) AS digest, length(line) + 1 AS size,
+                               list_transform(regexp_extract_all(line || chr(10), '{branches.PIECE.replace(chr(92) + 'n', chr(10))}'),
+                                              lambda p: substr(md5(p), 1, 8) || length(p)) AS pieces FROM lines),
+             paragraphs AS (SELECT t, i, digest, size, substr(digest, 1, 16) || size || '-' || array_to_string(pieces, '.') AS token,
+                                   coalesce(sum(CASE WHEN substr(digest, 64, 1) < '4' THEN 1 ELSE 0 END)
+                                            OVER (PARTITION BY t ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS section,
+                                   coalesce(sum(size) OVER (PARTITION BY t ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+                            FROM hashed),
+             sections AS (SELECT t, section, sha256(string_agg(digest, '' ORDER BY i)) AS digest, sum(size) AS size,
+                                 string_agg(token, ',' ORDER BY i) AS inner_ FROM paragraphs GROUP BY t, section),
+             named AS (SELECT t, section, digest, size, substr(digest, 1, 16) || CAST(size AS BIGINT) || '=' || inner_ AS token FROM sections),
+             prints AS (SELECT t, sha256(string_agg(digest, '' ORDER BY section)) || '/' || string_agg(token, ';' ORDER BY section) AS print
+                        FROM named GROUP BY t),
+             ids AS (SELECT e.*, a.t AS own, b.t AS changed, c.t AS follows FROM edited e JOIN texts a ON a.text = e.text
+                     JOIN texts b ON b.text = e.edited JOIN texts c ON c.text = e.next_text),
+             pairs AS (SELECT own AS x, changed AS y FROM ids UNION SELECT own, follows FROM ids),
+             one AS (SELECT x, y, token, count(*) FILTER (t = x) AS n, count(*) FILTER (t = y) AS m
+                     FROM pairs JOIN named ON x <> y AND t IN (x, y) GROUP BY x, y, token),
+             two AS (SELECT x, y, unnest(string_split(split_part(token, '=', 2), ',')) AS token, n - least(n, m) AS n, m - least(n, m) AS m FROM one WHERE n <> m),
+             two_n AS (SELECT x, y, token, sum(n) AS n, sum(m) AS m FROM two GROUP BY x, y, token),
+             three AS (SELECT x, y, unnest(string_split(split_part(token, '-', 2), '.')) AS token, n - least(n, m) AS n, m - least(n, m) AS m FROM two_n WHERE n <> m),
+             three_n AS (SELECT x, y, token, sum(n) AS n, sum(m) AS m FROM three GROUP BY x, y, token),
+             shared AS (SELECT x, y, sum(part) AS shared FROM (
+                          SELECT x, y, least(n, m) * CAST(split_part(substr(token, 17), '=', 1) AS BIGINT) AS part FROM one
+                          UNION ALL SELECT x, y, least(n, m) * CAST(split_part(substr(token, 17), '-', 1) AS BIGINT) FROM two_n
+                          UNION ALL SELECT x, y, least(n, m) * CAST(substr(token, 9) AS BIGINT) FROM three_n) GROUP BY x, y),
+             sizes AS (SELECT t, sum(size) AS size FROM sections GROUP BY t),
+             alike AS (SELECT x, y, CASE WHEN x = y THEN 1.0::DOUBLE
+                              ELSE 2.0::DOUBLE * CAST(shared AS DOUBLE) / CAST(a.size + b.size AS DOUBLE) END AS likeness
+                       FROM pairs LEFT JOIN shared USING (x, y) JOIN sizes a ON a.t = x JOIN sizes b ON b.t = y),
+             moved AS (SELECT DISTINCT own AS x, changed AS y FROM ids WHERE own <> changed),
+             gone AS (SELECT DISTINCT x, y, p.token FROM moved JOIN named s ON s.t = x JOIN paragraphs p ON p.t = s.t AND p.section = s.section
+                      WHERE NOT EXISTS (SELECT 1 FROM named o WHERE o.t = y AND o.token = s.token)),
+             fresh AS (SELECT x, y, p.i, p.start, p.start + p.size AS stop, p.i - row_number() OVER (PARTITION BY x, y ORDER BY p.i) AS run
+                       FROM moved JOIN named s ON s.t = y JOIN paragraphs p ON p.t = s.t AND p.section = s.section
+                       WHERE NOT EXISTS (SELECT 1 FROM named o WHERE o.t = x AND o.token = s.token)
+                         AND NOT EXISTS (SELECT 1 FROM gone g WHERE g.x = moved.x AND g.y = moved.y AND g.token = p.token)),
+             spans AS (SELECT x, y, min(start) AS start, max(stop) AS stop FROM fresh GROUP BY x, y, run),
+             located AS (SELECT x, y, string_agg(CAST(start AS BIGINT) || '-' || CAST(stop AS BIGINT), ',' ORDER BY start) AS edits FROM spans GROUP BY x, y)
+        SELECT doc_id, length(i.text) AS n_chars, sha256(edited) AS edited_sha256, a.print AS fingerprint, b.print AS edited_fingerprint,
+               e.likeness AS near_edited, f.likeness AS near_next, next_id, coalesce(l.edits, '') AS edits
+        FROM ids i JOIN prints a ON a.t = own JOIN prints b ON b.t = changed JOIN alike e ON e.x = own AND e.y = changed
+        JOIN alike f ON f.x = own AND f.y = follows LEFT JOIN located l ON l.x = own AND l.y = changed""",
     # Levels one after the other; then each row's way up through its group's tree and the groups' tree.
     "op13_merkle_manifest": f"""
         WITH RECURSIVE
