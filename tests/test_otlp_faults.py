@@ -43,7 +43,7 @@ REFUSED = [
     ("not_an_object", with_value("x")), ("unknown_field", with_value({"floatValue": 1})), ("not_a_list", with_value({"arrayValue": {"values": {}}})),
     ("not_an_object", with_value({"arrayValue": []})), ("bad_scalar", with_value(nest(3, {"intValue": "abc"}))),
     ("bad_scalar", with_value({"kvlistValue": {"values": [{"key": 1, "value": {}}]}})), ("unknown_field", with_value(nest(2, {"textValue": ""}))),
-    ("field_twice", with_value(nest(1, {"intValue": "1", "int_value": "1"}))), ("too_deep", with_value(nest(60, {"intValue": "1"}))),
+    ("field_twice", with_value(nest(1, {"intValue": "1", "int_value": "1"}))), ("too_deep", with_value(nest(150, {"intValue": "1"}))),
     ("bad_scalar", {"resourceSpans": [{"resource": {"attributes": [{"key": "k", "value": {"intValue": "abc"}}]}}]}),
     ("bad_scalar", with_span(events=[{"name": "e", "timeUnixNano": "x"}])), ("bad_scalar", with_span(links=[{"traceId": 1}])),
 ]

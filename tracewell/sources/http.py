@@ -28,9 +28,10 @@ from tracewell.session import prepare_session
 REQUEST_SCHEMA = (
     "event_id STRING, ts TIMESTAMP, method STRING, scheme STRING, path STRING,"
     " headers ARRAY<STRUCT<name: STRING, value: STRING>>, body STRING, source_address STRING,"
-    " response_body STRING, response_type STRING, response_encoding STRING, metrics STRING,"
-    " response_status INT, duration_ms DOUBLE"
+    " response_body STRING, response_type STRING, response_encoding STRING, metrics STRING"
 )
+#: Read as well; tables without these fields are taken too.
+RESPONSE_FIELDS = "response_status INT, duration_ms DOUBLE"
 
 
 @dataclass(frozen=True)
@@ -53,10 +54,10 @@ class RequestOptions:
 
 
 def read_requests(spark: SparkSession, path: str, fmt: str = "json", *, stream: bool = False) -> DataFrame:
-    """A raw request log with ``REQUEST_SCHEMA``."""
+    """A raw request log with ``REQUEST_SCHEMA`` and ``RESPONSE_FIELDS``."""
     prepare_session(spark)
     reader = spark.readStream if stream else spark.read
-    return reader.format(fmt).schema(REQUEST_SCHEMA).load(path)
+    return reader.format(fmt).schema(f"{REQUEST_SCHEMA}, {RESPONSE_FIELDS}").load(path)
 
 
 def read_http_log(spark: SparkSession, path: str, options: RequestOptions = RequestOptions(),

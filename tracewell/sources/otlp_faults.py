@@ -10,7 +10,7 @@ from the types below refuses the whole export, with the first fault found:
 ``null_entry``                     null in a list, unless such entries are skipped
 ``bad_scalar``                     a value that its type cannot hold
 ``several_values``                 an attribute value of more than one kind
-``too_deep``                       more than 100 messages inside each other
+``too_deep``                       more than MAX_MESSAGES messages inside each other
 
 All of this is column expressions over the parsed VARIANT. Only attribute values that hold lists
 or maps, which nest without bound, are looked at in Arrow batches.
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from tracewell.functions.lets import fence, let
 from tracewell.functions.variants import as_array, as_object, as_text
 
-MAX_MESSAGES = 100
+#: A list counts two, a map three; values below MAX_ATTRIBUTE_DEPTH of them read as null.
+MAX_MESSAGES = 200
 
 # Fixed values of the format: names of enumerated values.
 SPAN_KINDS = ("SPAN_KIND_UNSPECIFIED", "SPAN_KIND_INTERNAL", "SPAN_KIND_SERVER", "SPAN_KIND_CLIENT", "SPAN_KIND_PRODUCER",
