@@ -473,5 +473,26 @@ _sql("stream_calls", f"""
 _sql("stream_windowed_tokens", """
   SELECT epoch_us(w) AS window_us, provider, count(*) AS calls, sum(tokens_total)::BIGINT AS tokens
   FROM (SELECT *, date_trunc('day', ts) AS w FROM calls) GROUP BY 1, 2""", CALLS)
+# What a stream has said when its input ends: windows and sessions that end before the watermark, ten minutes behind.
+PASSED = "(SELECT max(epoch_us(ts)) // 1000 * 1000 - 600000000 FROM calls{})"
+_sql("stream_loops", """
+  SELECT epoch_us(date_trunc('day', ts)) AS window_us, session_id, handler_name, count(*) AS calls FROM calls
+  GROUP BY 1, 2, 3 HAVING count(*) >= 2""", CALLS)
+_sql("stream_session_totals", f"""
+  SELECT * FROM (
+    SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 43200000000 AS end_us, count(*) AS calls FROM (
+      SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM (
+        SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 12 HOUR THEN 1 ELSE 0 END AS fresh FROM calls
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))) GROUP BY user_id, n)
+  WHERE end_us <= {PASSED.format("")}""", CALLS)
+_sql("stream_correlate_windows", f"""
+  SELECT epoch_us(w) AS window_us, user_id, llm_calls, mcp_calls FROM (
+    SELECT date_trunc('day', ts) AS w, user_id, count(*) FILTER (kind = 'llm') AS llm_calls,
+      count(*) FILTER (kind = 'mcp') AS mcp_calls FROM calls GROUP BY 1, 2) WHERE llm_calls > 0 AND mcp_calls > 0
+    AND epoch_us(w) + 86400000000 <= least({PASSED.format(" WHERE kind = 'llm'")}, {PASSED.format(" WHERE kind = 'mcp'")})""", CALLS)
+_sql("stream_failure_streaks", """
+  SELECT session_id, count(*) AS failures, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us FROM (
+    SELECT *, count(*) FILTER (status <> 'error') OVER (PARTITION BY session_id ORDER BY ts DESC, event_id DESC) AS after FROM calls)
+  WHERE after = 0 GROUP BY session_id HAVING count(*) >= 2""", CALLS)
 _sql("stream_dedup_spans", """
   SELECT DISTINCT md5(CAST(event_id % 5000 AS VARCHAR)) AS trace_id, event_id % 2 AS span_id FROM events""")

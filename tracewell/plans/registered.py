@@ -772,6 +772,39 @@ def stream_windowed_tokens(spark, sf_dir):
     return latest.select(us("window_start").alias("window_us"), "provider", "calls", "tokens")
 
 
+@query
+def stream_loops(spark, sf_dir):
+    """Open windows included: the counts that the stream last stored."""
+    out = jobs.windowed_loops(S.calls(spark, sf_dir, stream=True), 2, "1 day", ("session_id", "handler_name"))
+    path = checkpoint_location(spark, "table")
+    jobs.stream_latest(out, path, trigger=jobs.ONCE).awaitTermination()
+    latest = jobs.latest_rows(spark, path, out.schema, ("window_start", "session_id", "handler_name"))
+    return latest.select(us("window_start").alias("window_us"), "session_id", "handler_name", "calls")
+
+
+@query
+def stream_session_totals(spark, sf_dir):
+    """The sessions that are over: whose end the watermark has passed."""
+    out = jobs.session_totals(S.calls(spark, sf_dir, stream=True), "12 hours")
+    return _finished(spark, out).select("user_id", us("session_start").alias("start_us"), us("session_end").alias("end_us"), "calls")
+
+
+@query
+def stream_correlate_windows(spark, sf_dir):
+    """Windows that both streams have left behind, joined as streams."""
+    rows = S.calls(spark, sf_dir, stream=True)
+    out = jobs.correlate_windows(rows.filter("kind = 'llm'"), rows.filter("kind = 'mcp'"), "user_id", "1 day")
+    return _finished(spark, out).select(us("window_start").alias("window_us"), "user_id", "llm_calls", "mcp_calls")
+
+
+@query
+def stream_failure_streaks(spark, sf_dir):
+    """Runs of failures that sessions are in at the end."""
+    out = jobs.failure_streaks(S.calls(spark, sf_dir, stream=True), 2)
+    latest = _finished(spark, out).groupBy("session_id").agg(F.max_by(F.struct("failures", "first_ts", "last_ts"), "last_ts").alias("run"))
+    return latest.select("session_id", "run.failures", us("run.first_ts").alias("first_us"), us("run.last_ts").alias("last_us"))
+
+
 @query
 def stream_dedup_spans(spark, sf_dir):
     rows = S.calls(spark, sf_dir, stream=True).withColumns({
