@@ -31,7 +31,7 @@ from tracewell.functions.variants import (
     scalar_type,
     to_object,
 )
-from tracewell.operators.rules import Rule
+from tracewell.operators.rules import Rule, check_rules
 
 
 def json_text(df: DataFrame, col: str) -> Column:
@@ -146,8 +146,10 @@ def scrub_pii(df: DataFrame, cols: Sequence[str], rules: Sequence[Rule], secret:
               extra_keys: Iterable[str] = ()) -> DataFrame:
     """Scrub text, ``map<string,string>`` and VARIANT columns with ``rules``.
 
-    In maps and JSON the sensitive keys go first, then key rules, then values.
+    In maps and JSON the sensitive keys go first, then key rules, then values. A rule
+    that the JVM cannot read raises ValueError here, not at run time.
     """
+    check_rules(df.sparkSession, rules)
     extra = tuple(extra_keys)
     for col in cols:
         dtype = df.schema[col].dataType

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -58,11 +59,18 @@ class Rule:
         return self.scope in ("keys", "both")
 
 
-def check_rules(spark: SparkSession, rules: list[Rule]) -> list[Rule]:
-    """Raise ValueError unless the JVM can read every pattern; returns ``rules``."""
+_readable: set[str] = set()
+
+
+def check_rules(spark: SparkSession, rules: Sequence[Rule]) -> list[Rule]:
+    """Raise ValueError, naming the rule, unless the JVM can read every pattern; returns
+    ``rules``. A pattern is tried once in a process."""
     for rule in rules:
+        if rule.java in _readable:
+            continue
         try:
             spark.range(1).select(F.lit("").rlike(rule.java)).collect()
         except Exception as error:
             raise ValueError(f"rule {rule.name!r}: invalid pattern") from error
-    return rules
+        _readable.add(rule.java)
+    return list(rules)

@@ -257,6 +257,10 @@ _sql("drop_unroutable_mcp", """
   WHERE outcome IN ('mcp', 'filtered')""", SPANS)
 _sql("copy_extra_attributes", f"""
   SELECT trace_id, {_hmac('corr')} AS corr_session FROM spans WHERE event_type IN ('view', 'click', 'purchase')""", SPANS)
+TAGS = """'{"a":null,"b":[1,"' || """ + K + """ || '"]}'"""
+_sql("structured_extras", f"""
+  SELECT event_id, '{{"acme.apiKey":"[REDACTED]","billing-credit-card":"[REDACTED]","deep":[{{"ok":' || {K} ||
+    ',"userPassword":"[REDACTED]"}}],"plan":"p' || {K} || '"}}' AS profile, {_hmac(TAGS)} AS tags FROM events""")
 _sql("rebuild_conversations", """
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, role, md5(text) AS content_md5
   FROM conversations""")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions.ip import forwarded_ip
 from tracewell.functions.variants import as_object, as_text
-from tracewell.operators import accounting, analytics, filters, privacy, requests, spans as mapping
+from tracewell.operators import accounting, analytics, extras, filters, privacy, requests, spans as mapping
 from tracewell.operators.messages import rebuild_messages
 from tracewell.operators.rules import Rule
 from tracewell.operators.sizing import custom_object, enforce_event_size
@@ -414,6 +414,20 @@ def copy_extra_attributes(spark, sf_dir):
     return rows.filter(F.size("extras") > 0).select("trace_id", as_text(F.col("extras")["corr_session"]).alias("corr_session"))
 
 
+@query
+def structured_extras(spark, sf_dir):
+    """Chosen attributes that hold maps and lists: redacted by the words of nested names, or digested as stable text."""
+    k = F.get_json_object("props", "$.k")
+    profile = F.parse_json(F.format_string(
+        '{"plan":"p%s","acme.apiKey":"sk","deep":[{"userPassword":"x","ok":%s}],"billing-credit-card":{"n":1}}', k, k))
+    tags = F.parse_json(F.format_string('{"b":[1,"%s"],"a":null}', k))
+    attrs = F.create_map(F.lit("corr.profile"), profile, F.lit("corr.tags"), tags)
+    chosen, hashed = ("corr.profile",), ("corr.tags",)
+    extras.check_extras(chosen, hashed)
+    rows = S.table(spark, sf_dir, "events").select("event_id", extras.extra_fields(attrs, chosen, hashed, S.SECRET).alias("extras"))
+    return rows.select("event_id", as_text(F.col("extras")["corr_profile"]).alias("profile"), as_text(F.col("extras")["corr_tags"]).alias("tags"))
+
+
 @query
 def rebuild_conversations(spark, sf_dir):
     turns = S.table(spark, sf_dir, "conversations")

@@ -22,7 +22,7 @@ from tracewell.operators.filters import (
 )
 from tracewell.operators.privacy import address_pseudonym, head_tail_body
 from tracewell.operators.requests import captured_headers, query_params, scrub_params, split_path
-from tracewell.operators.rules import Rule
+from tracewell.operators.rules import Rule, check_rules
 from tracewell.session import prepare_session
 
 REQUEST_SCHEMA = (
@@ -97,6 +97,7 @@ def http_events(requests: DataFrame, options: RequestOptions = RequestOptions(),
     whose ``outcome`` is the reason, to be counted in the pass that stores the events.
     ``status`` is ``error`` for response codes from 400 on, null where the log has none.
     """
+    check_rules(requests.sparkSession, options.rules)
     rows = requests.withColumns({c: F.lit(None).cast(t) for c, t in (("response_status", "int"), ("duration_ms", "double"))
                                  if c not in requests.columns})
     rows = request_fates(rows, options)
