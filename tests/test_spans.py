@@ -1,4 +1,5 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -264,6 +265,28 @@ def test_non_finite_numbers_stay_at_their_value(spark):
     assert row["attrs"] == {"n": {"a": "NaN", "b": "Infinity", "c": 1.5, "d": "x"}, "m": [3]}
 
 
+def test_a_span_of_many_turns_is_rebuilt_in_linear_time(spark):
+    def seconds(turns):
+        attrs = {}
+        for i in range(turns):
+            attrs[f"llm.input_messages.{i}.message.role"] = "user"
+            attrs[f"llm.input_messages.{i}.message.content"] = f"turn {i}"
+        for j in range(turns):
+            attrs[f"llm.output_messages.0.message.tool_calls.{j}.tool_call.function.name"] = f"f{j}"
+        df = rebuild_messages(spans(spark, S.span("x", attrs)).cache())
+        df.select(F.col("attrs")).collect()
+        began = time.perf_counter()
+        row = df.select(F.to_json("input_messages").alias("i"), F.to_json("output_messages").alias("o")).first()
+        spent = time.perf_counter() - began
+        asked, answered = json.loads(row["i"]), json.loads(row["o"])
+        assert [m["content"] for m in asked] == [f"turn {i}" for i in range(turns)]
+        assert [c["name"] for c in answered[0]["tool_calls"]] == [f"f{j}" for j in range(turns)]
+        return spent
+
+    seconds(10)
+    assert seconds(5000) < 10 * max(seconds(1000), 0.5)
+
+
 def test_quarantine(spark):
     raw = spark.createDataFrame([(S.export(S.CHAT),), ("{bad",), ('{"resourceSpans": 3}',), ("x" * 200,)], "value string")
     reasons = [r.reason for r in decode_exports(raw, max_bytes=1 << 20).collect()]
